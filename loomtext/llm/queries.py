@@ -11,6 +11,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_dedup
+
+    d = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.col("line_n").alias("n_lines"), F.col("line_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pieces
+
+    model = pieces.load()
+    d = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    ids = F.array_join(F.transform("piece_ids", lambda x: F.hex(x)), ",")
+    return d.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("bigint").alias("n_pieces"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.col("piece_text").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    d = decontaminate.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("text")
+    items = F.array_join("bench_items", ",")
+    return d.select("doc_id", F.col("bench_words").alias("n_words"), F.col("bench_hits").alias("n_hit"), F.size("bench_items").cast("bigint").alias("n_items"), F.sha2(items.cast("binary"), 256).alias("items_sha256"), (F.size("bench_items") >= 2).alias("contaminated"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality_rules as q
 
