@@ -23,7 +23,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = pieces.load()
     d = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
-    ids = F.array_join(F.transform("piece_ids", lambda x: F.hex(x)), ",")
+    ids = F.array_join(F.col("piece_ids").cast("array<string>"), ",")
     return d.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("bigint").alias("n_pieces"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.col("piece_text").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
@@ -44,6 +44,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *[F.col(a).alias(b) for a, b in names.items()])
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import minhash
+
+    d = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
 
