@@ -35,6 +35,19 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.col("bench_words").alias("n_words"), F.col("bench_hits").alias("n_hit"), F.size("bench_items").cast("bigint").alias("n_items"), F.sha2(items.cast("binary"), 256).alias("items_sha256"), (F.size("bench_items") >= 2).alias("contaminated"))
 
 
+def _fold_of(folds: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(_fold_of(3) != 1))
+    d = toxicity.score(docs, model)
+    return d.select("doc_id", (_fold_of(3) == 1).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality_rules as q
 
