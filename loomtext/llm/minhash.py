@@ -8,8 +8,9 @@ pair at similarity 0.85 meets with probability 0.99998, at 0.9 with 0.9999997.
 
 Equal sets are collapsed to their smallest doc_id first.  Tables are range-partitioned by (key, doc), so a bucket that a
 third of all documents share is spread over many tasks.  A bucket of up to ``PIVOTS`` + 1 sets gives all its pairs; of a
-larger one each set meets the bucket's ``PIVOTS`` smallest, and, if these links leave the bucket in several components,
-its sets are dealt into finer tables, keyed by one more sub-hash, where the same holds, until no bucket is open.
+larger one each set meets the bucket's ``PIVOTS`` smallest; if these links leave the bucket in several components, the
+sets outside the main one meet all others; and if there are more than ``STRAYS`` of these, the bucket's sets are dealt into
+finer tables, keyed by one more sub-hash, where the same holds.
 
 Edge cases: null or empty text, or text without words, has an empty set and is linked with nothing; fewer words than a
 shingle make one shingle; a null doc_id is linked with nothing and kept; rows that repeat a doc_id are linked by their
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .components import components
 from .shared import settled
@@ -222,7 +223,6 @@ def confirm(pairs: DataFrame, docs: DataFrame, limit: int = 85) -> DataFrame:
 
     A pivot's partners are dealt over as many salts as it has thousands of them, each with a copy of the pivot.
     """
-    pairs = settled(pairs)
     pivots = pairs.groupBy("a").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("salts"))
     of = pairs.join(pivots, "a").select(F.col("b").alias("id"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
     own = pivots.select(F.col("a").alias("id"), F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
@@ -240,15 +240,47 @@ def _tables(classes: DataFrame) -> DataFrame:
     return classes.withColumns({"nd_x": first, "nd_y": second}).select(F.explode(keys).alias("key"), F.col("rep").alias("doc"))
 
 
-def _finer(met: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, doc) of the large buckets that lie in several components, keyed by one more sub-hash."""
+STRAYS = 64
+
+
+def _members(met: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, doc, c: the component, main: that of the bucket's smallest member) of the large buckets in several components."""
     members = met.where(F.col("kind") == LARGE).select("key", F.col("a").alias("doc")).distinct()
     known = members.join(found, F.col("doc") == F.col("node"), "left").select("key", "doc", F.coalesce("component", "doc").alias("c"))
-    open_keys = known.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 != c2").select("key")
-    rows = members.join(open_keys, "key").join(classes.select(F.col("rep").alias("doc"), "nd_sig"), "doc")
+    spans = known.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min_by("c", "doc").alias("main")).where("c1 != c2").select("key", "main")
+    return known.join(spans, "key")
+
+
+def _stray_pairs(members: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs of a large bucket's first STRAYS members outside its main component with its members of other components.
+
+    The rank's limit is applied in the map tasks too, and each bucket gives at most STRAYS pairs a member.
+    """
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("doc"))
+    strays = members.where("c != main").withColumn("rank", rank).where(F.col("rank") <= STRAYS).select("key", F.col("doc").alias("s"), F.col("c").alias("cs"))
+    pairs = members.join(strays, "key").where("c != cs").select(F.least("doc", "s").alias("a"), F.greatest("doc", "s").alias("b")).distinct()
+    return pairs.join(done, ["a", "b"], "left_anti")
+
+
+def _finer(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, doc) of the buckets that still have more strays than could be compared with all, keyed by one more sub-hash."""
+    many = members.groupBy("key").agg(F.count_if(F.col("c") != F.col("main")).alias("strays")).where(F.col("strays") > STRAYS).select("key")
+    rows = members.select("key", "doc").join(many, "key").join(classes.select(F.col("rep").alias("doc"), "nd_sig"), "doc")
     return rows.select("doc", F.explode(F.transform("nd_sig", lambda s, i: F.xxhash64("key", i, s))).alias("key")).distinct()
 
 
+FEW_IDS = 1_000_000
+
+
+def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of docs that are in a pair. Up to FEW_IDS ids (8 MB) are broadcast, so that no text moves; more are joined by
+    shuffling, once, and kept."""
+    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    if ids.count() <= FEW_IDS:
+        return docs.join(F.broadcast(ids), "doc_id", "left_semi")
+    return settled(docs.join(ids, "doc_id", "left_semi"))
+
+
 def near_duplicates(docs: DataFrame, limit: int = 85, depth: int = 3) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
     signed = settled(sign(docs))
@@ -256,20 +288,24 @@ def near_duplicates(docs: DataFrame, limit: int = 85, depth: int = 3) -> DataFra
     fp = ["nd_n", "nd_f1", "nd_f2"]
     classes = settled(sets.groupBy(*fp).agg(F.min("nd_doc").alias("rep"), F.first("nd_sig").alias("nd_sig")))
     met = _met(_tables(classes))
-    done = _pairs(met)
+    done = settled(_pairs(met))
+    docs = _texts_of(done, docs.select("doc_id", "text"))
     links = settled(confirm(done, docs, limit))
-    found = components(links)
-    for _ in range(depth):
-        rows = _finer(met, classes, found)
-        if rows.isEmpty():
+    found = settled(components(links))
+    for level in range(depth):
+        strays = settled(_stray_pairs(_members(met, found), done))
+        if not strays.isEmpty():
+            done = done.union(strays)
+            links = settled(links.union(confirm(strays, docs, limit)))
+            found = settled(components(links))
+        rows = settled(_finer(_members(met, found), classes))
+        if level == depth - 1 or rows.isEmpty():
             break
         met = _met(rows)
-        # pairs already within one component need no more proof
-        label = found.select("node", "component")
-        more = _pairs(met).join(label.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left").join(label.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
-        more = more.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        more = settled(_pairs(met).join(done, ["a", "b"], "left_anti"))
+        done = done.union(more)
         links = settled(links.union(confirm(more, docs, limit)))
-        found = components(links)
+        found = settled(components(links))
     of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select(*fp, F.coalesce("component", "rep").alias("component_id"))
     out = signed.drop("nd_sig").join(of_class, fp, "left")
     component = F.when((F.col("nd_n") > 0) & F.col("nd_doc").isNotNull(), F.col("component_id")).otherwise(F.col("nd_doc"))
