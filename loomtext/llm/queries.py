@@ -11,6 +11,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold_of(folds: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import line_dedup
 
@@ -18,6 +22,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.col("line_n").alias("n_lines"), F.col("line_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality_classifier as q
+
+    vectors = settled(q.featurise(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    model = q.fit(vectors.where(_fold_of(5) != 0), table(spark, sf_dir, "labels").where(_fold_of(5) != 0))
+    d = q.score(vectors, model)
+    return d.select("doc_id", (_fold_of(5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pieces
 
@@ -35,10 +48,6 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.col("bench_words").alias("n_words"), F.col("bench_hits").alias("n_hit"), F.size("bench_items").cast("bigint").alias("n_items"), F.sha2(items.cast("binary"), 256).alias("items_sha256"), (F.size("bench_items") >= 2).alias("contaminated"))
 
 
-def _fold_of(folds: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
-
-
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
