@@ -27,7 +27,7 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 BYTE_COST = -1e12  # for each byte: worse than any piece
 _WITH_BYTES = BYTE_COST / 2
 _LOW = float("-inf")
-REMEMBER = 400_000
+REMEMBER = 100_000
 
 
 def load(path: str = TOKENIZER) -> list[tuple[str, float, str]]:
@@ -105,7 +105,7 @@ class Automaton:
         return out
 
 
-CELLS = 2_000_000
+CELLS = 400_000
 
 
 class Codec:
@@ -225,8 +225,8 @@ def encode(docs: DataFrame, pieces: list[tuple[str, float, str]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = sent.value
         for whole in batches:
-            for offset in range(0, whole.num_rows, 1024):
-                batch = whole.slice(offset, 1024)
+            for offset in range(0, whole.num_rows, 256):
+                batch = whole.slice(offset, 256)
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
                 ids = codec.encode_batch([t or "" for t in texts])
                 offsets = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
