@@ -40,6 +40,13 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("bigint").alias("n_pieces"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.col("piece_text").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html_text
+
+    d = html_text.extract(table(spark, sf_dir, "pages"))
+    return d.select("page_id", "url", F.length("html_text").cast("bigint").alias("n_chars"), F.sha2(F.col("html_text").cast("binary"), 256).alias("text_sha256"), "html_text")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontaminate
 
