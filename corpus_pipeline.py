@@ -1,15 +1,62 @@
-"""The corpus pipeline: stages applied to documents one after another."""
+"""The corpus pipeline: stages applied to documents one after another.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+
+1. quality rules: documents that fail the base rules or a cutoff learned from the stage's input go.
+2. line dedup: lines found in three documents or more stay only in the largest doc_id; n_chars follows the text.
+3. MinHash near-dedup: the smallest doc_id of each component stays.
+4. benchmark decontamination: the hit words' documents with two or more items go.
+5. SentencePiece: ids of each text, and whether they decode to it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from loomtext.llm import decontaminate, line_dedup, minhash, pieces, quality_rules
+from loomtext.llm.shared import settled
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows are told apart by doc_id and text, so that a repeated doc_id keeps its own verdicts."""
+    own = docs.select("doc_id", "lang", "source", "text")
+    measured = settled(quality_rules.measure(own).withColumn("q_text", F.xxhash64("text")).drop("text"))
+    judged = quality_rules.judge(measured, quality_rules.thresholds(measured))
+    good = judged.where("q_kept").select(*[F.col(c).alias(f"q_{c}_") for c in ("doc_id", "lang", "source")], "q_text").distinct()
+    on = (F.xxhash64("text") == F.col("q_text")) & F.col("doc_id").eqNullSafe(F.col("q_doc_id_")) & F.col("lang").eqNullSafe(F.col("q_lang_")) & F.col("source").eqNullSafe(F.col("q_source_"))
+    return docs.join(good, on, "left_semi").select(*COLUMNS)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    d = line_dedup.dedup(docs.select(*COLUMNS))
+    return d.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.keep_one(docs).select(*COLUMNS)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("bench_items") < 2).select(*COLUMNS)
+
+
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = pieces.load()
+    d = pieces.decode(pieces.encode(docs.select(*COLUMNS), model), model)
+    return d.select("doc_id", "lang", "source", "n_chars", "piece_ids", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("bigint").alias("n_pieces"), F.col("piece_text").eqNullSafe(F.col("text")).alias("round_trip"))
+
 
-STAGES = []
+STAGES = [("quality_rules", quality_stage), ("line_dedup", line_stage), ("minhash", near_stage), ("decontaminate", benchmark_stage), ("sentencepiece", pieces_stage)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = settled(docs)  # the next stage reads its input more than once
     return docs
