@@ -22,6 +22,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.col("line_n").alias("n_lines"), F.col("line_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffix_dedup
+
+    d = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality_classifier as q
 

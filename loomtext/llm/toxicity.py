@@ -37,7 +37,7 @@ _LOOKS |= {chr(0xFF41 + k): chr(97 + k) for k in range(26)}
 _LOOKS |= {chr(0xFF10 + k): _LOOKS.get(str(k), " ") for k in range(10)}
 _SIGN = re.compile(r"(?<![$@!|+*#%&])[$@!](?=[^\W\d_])")
 _SIGNS = {"$": "s", "@": "a", "!": "i"}
-_HIDDEN = re.compile("[­​-‏⁠﻿̀-ͯ]")
+_HIDDEN = re.compile("[" + "".join(map(chr, (0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF, *range(0x300, 0x370)))) + "]")
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "loser bracket", "white trash bag")
 #: weights before any learning
 GIVEN = {" idiot ": 3.0, " moron ": 3.0, " stupid ": 2.5, " scum ": 3.0, " loser ": 2.5, " pathetic ": 2.0, " worthless ": 2.5, " disgusting ": 2.0, " trash ": 1.5, " clown ": 1.5}
