@@ -9,8 +9,7 @@ pair at similarity 0.85 meets with probability 0.99998, at 0.9 with 0.9999997.
 Equal sets are collapsed to their smallest doc_id first.  Tables are range-partitioned by (key, doc), so a bucket that a
 third of all documents share is spread over many tasks.  A bucket of up to ``PIVOTS`` + 1 sets gives all its pairs; of a
 larger one each set meets the bucket's ``PIVOTS`` smallest; if these links leave the bucket in several components, the
-sets outside the main one meet all others; and if there are more than ``STRAYS`` of these, the bucket's sets are dealt into
-finer tables, keyed by one more sub-hash, where the same holds.
+sets outside the main one meet all others of it, in blocks.
 
 Edge cases: null or empty text, or text without words, has an empty set and is linked with nothing; fewer words than a
 shingle make one shingle; a null doc_id is linked with nothing and kept; rows that repeat a doc_id are linked by their
@@ -23,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .shared import settled
+from .shared import settled, tidy
 
 SHINGLE, COLLECTION, ROWS, PIVOTS = 5, 12, 3, 8
 _MAP = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
@@ -240,33 +239,72 @@ def _tables(classes: DataFrame) -> DataFrame:
     return classes.withColumns({"nd_x": first, "nd_y": second}).select(F.explode(keys).alias("key"), F.col("rep").alias("doc"))
 
 
-STRAYS = 64
+STRAYS, MEMBERS = 256, 2000
 
 
-def _members(met: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, doc, c: the component, main: that of the bucket's smallest member) of the large buckets in several components."""
+def _touching(met: DataFrame, found: DataFrame) -> DataFrame:
+    """(main, doc, c) of the members of large buckets that lie in several components: main is the component of the bucket's
+    smallest member, c the member's own."""
     members = met.where(F.col("kind") == LARGE).select("key", F.col("a").alias("doc")).distinct()
     known = members.join(found, F.col("doc") == F.col("node"), "left").select("key", "doc", F.coalesce("component", "doc").alias("c"))
     spans = known.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min_by("c", "doc").alias("main")).where("c1 != c2").select("key", "main")
-    return known.join(spans, "key")
+    return known.join(spans, "key").select("main", "doc", "c").distinct()
 
 
-def _stray_pairs(members: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of a large bucket's first STRAYS members outside its main component with its members of other components.
+def _against(limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Over rows (main, block, salt, member, doc, c, text), the strays of each (main, block, salt) first: confirmed pairs of a
+        stray and a member of another component. Only the strays' sets, STRAYS about, are held."""
+        group, held, inside = None, [], False
+        hashes = owners = sizes = ids = homes = None
+        for whole in batches:
+            for offset in range(0, whole.num_rows, 512):
+                batch = whole.slice(offset, 512)
+                out_a, out_b = [], []
+                texts = batch.column(6).cast(pa.binary()).to_pylist()
+                for main, block, salt, member, doc, c, text in zip(*(batch.column(k).to_pylist() for k in range(6)), texts):
+                    x = shingles(text or b"")
+                    if (main, block, salt) != group:
+                        group, held, inside = (main, block, salt), [], False
+                    if not member:
+                        held.append((doc, c, x))
+                        continue
+                    if not inside:
+                        inside = True
+                        owners = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
+                        hashes = np.concatenate([h[2] for h in held])
+                        order = np.argsort(hashes, kind="stable")
+                        hashes, owners = hashes[order], owners[order]
+                        sizes, ids, homes = (np.array(v, np.int64) for v in ([len(h[2]) for h in held], [h[0] for h in held], [h[1] for h in held]))
+                    low, high = np.searchsorted(hashes, x, "left"), np.searchsorted(hashes, x, "right")
+                    n = high - low
+                    at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    both = np.bincount(owners[at], minlength=len(ids))
+                    for k in np.flatnonzero((100 * both >= limit * (sizes + len(x) - both)) & (homes != c) & (ids != doc)).tolist():
+                        out_a.append(min(doc, int(ids[k])))
+                        out_b.append(max(doc, int(ids[k])))
+                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    The rank's limit is applied in the map tasks too, and each bucket gives at most STRAYS pairs a member.
-    """
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("doc"))
-    strays = members.where("c != main").withColumn("rank", rank).where(F.col("rank") <= STRAYS).select("key", F.col("doc").alias("s"), F.col("c").alias("cs"))
-    pairs = members.join(strays, "key").where("c != cs").select(F.least("doc", "s").alias("a"), F.greatest("doc", "s").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+    return run
 
 
-def _finer(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, doc) of the buckets that still have more strays than could be compared with all, keyed by one more sub-hash."""
-    many = members.groupBy("key").agg(F.count_if(F.col("c") != F.col("main")).alias("strays")).where(F.col("strays") > STRAYS).select("key")
-    rows = members.select("key", "doc").join(many, "key").join(classes.select(F.col("rep").alias("doc"), "nd_sig"), "doc")
-    return rows.select("doc", F.explode(F.transform("nd_sig", lambda s, i: F.xxhash64("key", i, s))).alias("key")).distinct()
+def _stray_links(met: DataFrame, found: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
+    """Links between the members of large buckets that stand apart and all that meet them there.
+
+    Around each main component, the strays are dealt into blocks and the members into salts; every member meets every block,
+    and pairs that are no links are never written out.
+    """
+    touching = settled(_touching(met, found))
+    apart = F.col("c") != F.col("main")
+    sizes = touching.groupBy("main").agg(F.ceil(F.count_if(apart) / STRAYS).cast("int").alias("blocks"), F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
+    rows = touching.join(sizes, "main").where("blocks > 0")
+    block, salt = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("salts")).cast("int")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    strays = rows.where(apart).select("main", block.alias("block"), upto("salts").alias("salt"), F.lit(0).alias("member"), "doc", "c")
+    members = rows.select("main", upto("blocks").alias("block"), salt.alias("salt"), F.lit(1).alias("member"), "doc", "c")
+    order = ["main", "block", "salt", "member", "doc"]
+    full = strays.union(members).join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").select(*order, "c", "text")
+    return full.repartition("main", "block", "salt").sortWithinPartitions(*order).mapInArrow(_against(limit), "a long, b long").distinct()
 
 
 FEW_IDS = 1_000_000
@@ -281,31 +319,22 @@ def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return settled(docs.join(ids, "doc_id", "left_semi"))
 
 
-def near_duplicates(docs: DataFrame, limit: int = 85, depth: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, limit: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
     signed = settled(sign(docs))
     sets = signed.where((F.col("nd_n") > 0) & F.col("nd_doc").isNotNull())
     fp = ["nd_n", "nd_f1", "nd_f2"]
     classes = settled(sets.groupBy(*fp).agg(F.min("nd_doc").alias("rep"), F.first("nd_sig").alias("nd_sig")))
     met = _met(_tables(classes))
+    tidy(docs.sparkSession)
     done = settled(_pairs(met))
     docs = _texts_of(done, docs.select("doc_id", "text"))
     links = settled(confirm(done, docs, limit))
     found = settled(components(links))
-    for level in range(depth):
-        strays = settled(_stray_pairs(_members(met, found), done))
-        if not strays.isEmpty():
-            done = done.union(strays)
-            links = settled(links.union(confirm(strays, docs, limit)))
-            found = settled(components(links))
-        rows = settled(_finer(_members(met, found), classes))
-        if level == depth - 1 or rows.isEmpty():
-            break
-        met = _met(rows)
-        more = settled(_pairs(met).join(done, ["a", "b"], "left_anti"))
-        done = done.union(more)
-        links = settled(links.union(confirm(more, docs, limit)))
-        found = settled(components(links))
+    tidy(docs.sparkSession)
+    strays = settled(_stray_links(met, found, docs, limit))
+    if not strays.isEmpty():
+        found = settled(components(links.union(strays)))
     of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select(*fp, F.coalesce("component", "rep").alias("component_id"))
     out = signed.drop("nd_sig").join(of_class, fp, "left")
     component = F.when((F.col("nd_n") > 0) & F.col("nd_doc").isNotNull(), F.col("component_id")).otherwise(F.col("nd_doc"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -18,3 +19,9 @@ def settled(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomtext-"))
     return df.checkpoint(eager=True)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

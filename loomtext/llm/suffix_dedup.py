@@ -25,16 +25,15 @@ gives an empty table.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .minhash import _mix, _Powers
-from .shared import settled
+from .shared import settled, tidy
 
 LENGTH, GRAM, BLOCK = 100, 24, 20_000
 _RNG = np.random.default_rng(4711)
@@ -204,12 +203,6 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield work(waiting)
 
 
-def _tidy(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over (doc_id, text, copy, cuts): (doc_id, n_bytes, spans, kept bytes)."""
     for batch in batches:
@@ -251,14 +244,14 @@ def dedup(docs: DataFrame) -> DataFrame:
     names = d.select("doc", "text").mapInArrow(_emit, "name long, doc long, at int").repartitionByRange(*order).sortWithinPartitions(*order)
     places = settled(names.mapInArrow(_repeated, "doc long, at int").groupBy("doc").agg(F.collect_set("at").alias("places")))
     del names
-    _tidy(spark)
+    tidy(spark)
     mine = firsts.join(places, "doc")
     around = d.select("doc", "fp", "text").join(mine, ["doc", "fp"]).select("doc", "fp", "text", "places").dropDuplicates(["doc", "fp"])
     contexts = around.mapInArrow(_contexts, "name long, doc long, fp long, at int, left int, around binary")
     dealt = contexts.repartition("name").sortWithinPartitions("name", "doc", "fp", "at")
     cuts = settled(dealt.mapInArrow(_compare, "doc long, fp long, start int, stop int").groupBy("doc", "fp").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")))
     del around, contexts, dealt
-    _tidy(spark)
+    tidy(spark)
     # one row for each first text: what is cut from it; texts without a row here are copies, or too short
     verdict = firsts.join(cuts, ["doc", "fp"], "left").withColumn("first", F.lit(True))
     joined = d.join(verdict, ["doc", "fp"], "left")
