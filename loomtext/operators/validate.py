@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T
+from ..settle import pinned
 
 _OPTIONS = {"allowSingleQuotes": "false"}
 
@@ -17,19 +18,24 @@ def json_object(line: Column) -> Column:
     return F.when(F.coalesce(F.size(only) == 1, F.lit(False)) & member.isNotNull() & T.strip(line).startswith("{"), member)
 
 
+def field(obj: Column, key: str) -> Column:
+    """A member's value; of a key that repeats the last one's."""
+    return F.try_element_at(F.filter(F.map_entries(obj), lambda e: e["key"] == key), F.lit(-1))["value"]
+
+
 def parse(lines: DataFrame) -> DataFrame:
     """Adds obj to lines(line_no, value): the object, or null where the line is blank or can't be read."""
-    d = lines.withColumn("v", F.coalesce(T.strip(F.col("value")), F.lit("")))
+    d = pinned(lines, *lines.columns, F.coalesce(T.strip(F.col("value")), F.lit("")).alias("v"))
     repaired = F.regexp_replace("v", r"""\\(?!["\\/bfnrtu])""", r"\\\\")
-    return d.withColumn("obj", F.coalesce(json_object(F.col("v")), json_object(repaired))).drop("v")
+    return pinned(d, *lines.columns, F.coalesce(json_object(F.col("v")), json_object(repaired)).alias("obj"))
 
 
 def checked(lines: DataFrame, min_words: int = 20) -> DataFrame:
     """(line_no, instruction, response, reason) of the readable lines; reason is null for a valid pair."""
     d = parse(lines).where(F.col("obj").isNotNull())
-    text = lambda k: T.clean_string(F.coalesce(F.try_element_at("obj", F.lit(k)), F.lit("")))
-    d = d.select("line_no", text("instruction").alias("instruction"), text("response").alias("response"))
-    return d.withColumn("reason", T.pair_fault(F.col("instruction"), F.col("response"), min_words))
+    for step in (lambda k: F.coalesce(field(F.col("obj"), k), F.lit("")), lambda k: T.clean_string(F.col(k))):
+        d = pinned(d, "line_no", *(step(k).alias(k) for k in ("instruction", "response")))
+    return pinned(d, "line_no", "instruction", "response", T.pair_fault(F.col("instruction"), F.col("response"), min_words).alias("reason"))
 
 
 def validated(lines: DataFrame, min_words: int = 20) -> DataFrame:

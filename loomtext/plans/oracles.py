@@ -122,6 +122,10 @@ ORACLES: dict[str, str] = {
     "heading_types": _WITH + _BOOKS + _HEADS + " SELECT " + _TYPE.format("trim(line)") + " AS section_type, count(*) AS n FROM marked WHERE is_heading GROUP BY 1",
     "sections_by_heading": _WITH + _BOOKS + _SECTIONS + " SELECT book_id, section_index, title, section_type, word_count, md5(body) AS body_md5 FROM (" + _BY_HEADING + ")",
     "sections_by_paragraph": _RWITH + _PLAIN_BOOKS + _PARAGRAPHS + " SELECT book_id, section_index, title, section_type, word_count, md5(body) AS body_md5 FROM (" + _BY_PARAGRAPH + ")",
+    "section_strategy": _RWITH + _BOOKS.replace("joined AS", "joined0 AS").replace("FROM joined)", "FROM joined0)").replace("books AS", "headed_books AS") + ", plain_joined AS (SELECT book_id, string_agg(text, chr(10) || chr(10) ORDER BY page_no) AS text FROM plain GROUP BY 1), books AS (SELECT * FROM headed_books WHERE regexp_matches(book_id, '[5-9]$') UNION ALL SELECT book_id, " + _TIDY.format("text") + " FROM plain_joined WHERE NOT regexp_matches(book_id, '[5-9]$'))" + _SECTIONS + _PARAGRAPHS + ", h AS (SELECT book_id, count(*) AS n FROM counted WHERE word_count >= 50 GROUP BY 1 HAVING count(*) >= 2) SELECT book_id, 'headings' AS strategy, n AS n_sections FROM h UNION ALL SELECT book_id, 'paragraphs', count(*) FROM grouped WHERE book_id NOT IN (SELECT book_id FROM h) GROUP BY 1",
+    "sentence_split": r"""WITH s0 AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)\.', '\1' || chr(1), 'g'), '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)!', '\1' || chr(2), 'g'), '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)\?', '\1' || chr(3), 'g') AS t FROM documents),
+s1 AS (SELECT doc_id, text, list_filter(list_transform(string_split(replace(replace(replace(regexp_replace(t, '([.!?])\s+([A-Z"])', '\1' || chr(10) || '\2', 'g'), chr(1), '.'), chr(2), '!'), chr(3), '?'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS s FROM s0),
+s2 AS (SELECT doc_id, CASE WHEN len(s) = 0 THEN [text] ELSE s END AS s FROM s1) SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, md5(array_to_string(s, chr(10))) AS sentences_md5 FROM s2""".replace("\\\\", "\\"),
     "batch_plan": _WITH + _PAGE_CHUNKS + " SELECT book_id, chunk_index, b AS batch_idx, least(20, 50 - b * 20) AS num_pairs FROM pc, (SELECT unnest(range(3)) AS b)",
     "run_estimate": "SELECT count(*) AS n_chunks, count(*) * 2 AS calls, round(count(*) * 2 * CAST(12 AS DOUBLE) / 60, 6) AS minutes FROM documents",
     "prompts": _WITH + _PAGE_CHUNKS + " SELECT book_id, chunk_index, md5(" + _template("'20'") + ") AS prompt_md5 FROM pc",

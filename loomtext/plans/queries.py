@@ -107,7 +107,7 @@ def _mixed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def section_strategy(spark: SparkSession, sf: str) -> DataFrame:
-    d = S.sections(_mixed(spark, sf))
+    d = S.sections(settle(_mixed(spark, sf)))
     return d.groupBy("book_id").agg(F.when(F.max("section_type") == "prose", "paragraphs").otherwise("headings").alias("strategy"), F.count("*").alias("n_sections"))
 
 

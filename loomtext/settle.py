@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -13,3 +13,9 @@ def settle(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomtext-"))
     return df.checkpoint(eager=True)
+
+
+def pinned(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """df.select(*columns), each column evaluated once a row: the optimiser moves neither filters nor expressions across the
+    generator, so what is built on these columns doesn't repeat their expressions."""
+    return df.select(F.inline(F.array(F.struct(*columns))))

@@ -21,13 +21,13 @@ def strict_pairs(lines: DataFrame) -> DataFrame:
     """pairs(pair_id, instruction, response) of the lines that are objects with both keys; others are skipped."""
     d = lines.withColumn("obj", validate.json_object(T.strip(F.col("value"))))
     d = d.where(F.col("obj").isNotNull() & F.map_contains_key("obj", "instruction") & F.map_contains_key("obj", "response"))
-    return d.select(F.col("line_no").alias("pair_id"), F.col("obj")["instruction"].alias("instruction"), F.col("obj")["response"].alias("response"))
+    return d.select(F.col("line_no").alias("pair_id"), validate.field(F.col("obj"), "instruction").alias("instruction"), validate.field(F.col("obj"), "response").alias("response"))
 
 
 def seen_keys(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(keys of instructions, keys of responses) of readable lines; a missing field counts as empty."""
     d = lines.withColumn("obj", validate.json_object(T.strip(F.col("value")))).where(F.col("obj").isNotNull())
-    return tuple(d.select(T.match_key(F.try_element_at("obj", F.lit(k))).alias("key")).distinct() for k in ("instruction", "response"))
+    return tuple(d.select(T.match_key(validate.field(F.col("obj"), k)).alias("key")).distinct() for k in ("instruction", "response"))
 
 
 def line_count(lines: DataFrame) -> int:
