@@ -42,7 +42,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pieces
 
     model = pieces.load()
-    d = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    d = pieces.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     ids = F.array_join(F.col("piece_ids").cast("array<string>"), ",")
     return d.select("doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("bigint").alias("n_pieces"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.col("piece_text").eqNullSafe(F.col("text")).alias("round_trip"))
 

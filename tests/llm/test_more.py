@@ -42,6 +42,12 @@ def test_pieces_round_trip_and_best_score():
         assert sum(table[pieces.load()[i][0]][0] for i in codec.encode(word)) == best[-1][0]
 
 
+def test_encode_then_decode(spark):
+    docs = spark.createDataFrame([(1, "a b  c"), (2, None), (3, ""), (4, "▁ x")], "doc_id long, text string")
+    model = pieces.load()
+    assert {r.doc_id: r.piece_text for r in pieces.decode(pieces.encode(docs, model), model).collect()} == {1: "a b  c", 2: None, 3: "", 4: "▁ x"}
+
+
 def test_html():
     text = html_text.render(
         "<html><head><title>t</title><style>.no{display:none} p{margin:0}</style></head><body><h1>Head &amp; tail</h1><p>One<p>Two <b>bold<br>line</b>"
