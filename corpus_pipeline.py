@@ -45,7 +45,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = pieces.load()
-    d = pieces.decode(pieces.encode(docs.select(*COLUMNS), model), model)
+    d = pieces.encode_and_decode(docs.select(*COLUMNS), model)
     return d.select("doc_id", "lang", "source", "n_chars", "piece_ids", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("bigint").alias("n_pieces"), F.col("piece_text").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
