@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,5 +24,7 @@ def settled(df: DataFrame) -> DataFrame:
 
 def tidy(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round frees Python's handles, the second what they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)

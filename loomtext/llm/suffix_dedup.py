@@ -10,8 +10,8 @@ offset. It keeps one suffix in about forty.
    position lies in every string, and where depends on the string's bytes alone.
 2. Sort of the cover by name (the hash), range-partitioned; names that occur once drop out. Whole copies of a text have been
    left out before: only the smallest doc_id's stays, as all of a copy's strings start earlier.
-3. Merge: each remaining cover suffix brings the bytes around it, and with them all strings of which it is the cover
-   position. Sorted by (name, document, position), equal strings at each offset are compared with the first of them; the
+3. Merge: each remaining cover suffix brings the bytes around it, and with them all strings for which it stands: those in
+   which it is the leftmost least. Sorted by (name, document, position), equal strings at each offset are compared with the first of them; the
    offsets of a suffix that start earlier elsewhere give one interval to remove.
 4. Intervals are gathered by document and cut from the text.
 
@@ -50,27 +50,21 @@ def _grams(b: np.ndarray, size: int) -> np.ndarray:
     return _mix((total[size:] - total[:n]) * down[:n])
 
 
-def _sliding(x: np.ndarray, size: int, f) -> np.ndarray:
-    """f (minimum or maximum) over each run of so many values."""
-    width = 1
-    while width * 2 <= size:
-        x = f(x[:-width], x[width:])
-        width *= 2
-    rest = size - width
-    return f(x[: len(x) - rest], x[rest:]) if rest else x
-
-
-def cover(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, names) of the cover."""
+def cover(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(position, name, first, last) of each cover suffix; first and last are the starts of the strings it stands for, those in
+    which its hash is the least, the leftmost of equal ones."""
     if len(text) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     h = _grams(np.frombuffer(text, np.uint8), GRAM)
-    span = length - GRAM + 1
-    least = _sliding(h, span, np.minimum)
-    pad = np.zeros(span - 1, np.uint64)
-    most = _sliding(np.concatenate([pad, least, pad]), span, np.maximum)
-    at = np.flatnonzero(h == most)
-    return at, h[at]
+    value, at, span, width = h, np.arange(len(h)), length - GRAM + 1, 1
+    while width < span:  # the least of each run of width values, then of up to twice as many
+        step = min(width, span - width)
+        right = value[step:] < value[:-step]
+        value, at = np.where(right, value[step:], value[:-step]), np.where(right, at[step:], at[:-step])
+        width += step
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))  # at never falls
+    last = np.concatenate([first[1:], [len(at)]]) - 1
+    return at[first], value[first], first, last
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +73,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = whole.slice(offset, 1000)
             names, docs, places = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                at, h = cover(text or b"")
+                at, h, _, _ = cover(text or b"")
                 names.append(h)
                 docs.append(np.full(len(at), doc, np.int64))
                 places.append(at.astype(np.int32))
@@ -115,19 +109,17 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over (doc, fp, text, places): (name, doc, fp, at, left, around): the bytes around each place, and how many of them are
-    before it."""
-    before, after = LENGTH - GRAM, LENGTH
+    """Over (doc, fp, text, places): (name, doc, fp, at, left, around): the bytes of the strings that each place stands for, and
+    how many of them are before it."""
     for whole in batches:
         for offset in range(0, whole.num_rows, 200):
             batch = whole.slice(offset, 200)
             rows: list[tuple] = []
             for doc, fp, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
-                at, h = cover(text or b"")
-                found = np.isin(at, np.array(places))
-                for p, name in zip(at[found].tolist(), h[found].view(np.int64).tolist()):
-                    a = max(0, p - before)
-                    rows.append((name, doc, fp, p, p - a, text[a : p + after]))
+                at, h, first, last = cover(text or b"")
+                cover_rows = zip(at.tolist(), h.view(np.int64).tolist(), first.tolist(), last.tolist())
+                wanted = set(places)
+                rows += [(name, doc, fp, p, p - a, text[a : b + LENGTH]) for p, name, a, b in cover_rows if p in wanted]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["name", "doc", "fp", "at", "left", "around"])
