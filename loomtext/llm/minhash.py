@@ -253,9 +253,9 @@ def _touching(met: DataFrame, found: DataFrame) -> DataFrame:
 
 def _against(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Over rows (main, block, salt, member, doc, c, text), the strays of each (main, block, salt) first: confirmed pairs of a
-        stray and a member of another component. Only the strays' sets, STRAYS about, are held."""
-        group, held, inside = None, [], False
+        """Over rows (main, block, salt, member, doc, c, text), the strays of each (main, block, salt) first: for each stray and
+        component, one confirmed pair if there is any. Only the strays' sets, STRAYS about, are held."""
+        group, held, inside, told = None, [], False, set()
         hashes = owners = sizes = ids = homes = None
         for whole in batches:
             for offset in range(0, whole.num_rows, 512):
@@ -265,7 +265,7 @@ def _against(limit: int):
                 for main, block, salt, member, doc, c, text in zip(*(batch.column(k).to_pylist() for k in range(6)), texts):
                     x = shingles(text or b"")
                     if (main, block, salt) != group:
-                        group, held, inside = (main, block, salt), [], False
+                        group, held, inside, told = (main, block, salt), [], False, set()
                     if not member:
                         held.append((doc, c, x))
                         continue
@@ -281,8 +281,10 @@ def _against(limit: int):
                     at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     both = np.bincount(owners[at], minlength=len(ids))
                     for k in np.flatnonzero((100 * both >= limit * (sizes + len(x) - both)) & (homes != c) & (ids != doc)).tolist():
-                        out_a.append(min(doc, int(ids[k])))
-                        out_b.append(max(doc, int(ids[k])))
+                        if (k, c) not in told:  # one link joins a stray to a whole component
+                            told.add((k, c))
+                            out_a.append(min(doc, int(ids[k])))
+                            out_b.append(max(doc, int(ids[k])))
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return run
