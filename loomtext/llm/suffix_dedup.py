@@ -4,7 +4,7 @@ The named method sorts the suffixes that start in a difference cover, names them
 cover suffix's name. A cover by residues modulo 3 keeps two thirds of all suffixes, each a row that is shuffled several
 times, which no disk limit near the input's size allows (README, op2). So the cover here is one by content, a
 synchronizing set, with the same property: any two equal strings of ``length`` bytes have a cover position at the same
-offset. It keeps one suffix in about forty.
+offset. It keeps about one suffix in 34.
 
 1. Cover: a position is in it if its GRAM-byte hash is the least of those in some ``length``-byte string. At least one such
    position lies in every string, and where depends on the string's bytes alone.
