@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 1. quality rules: documents that fail the base rules or a cutoff learned from the stage's input go.
 2. line dedup: lines found in three documents or more stay only in the largest doc_id; n_chars follows the text.
-3. MinHash near-dedup: the smallest doc_id of each component stays.
+3. MinHash near-dedup: the smallest doc_id of each component of links at similarity 0.8 or more stays.
 4. benchmark decontamination: the hit words' documents with two or more items go.
 5. SentencePiece: ids of each text, and whether they decode to it.
 """
@@ -35,7 +35,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs).select(*COLUMNS)
+    return minhash.keep_one(docs, limit=80).select(*COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

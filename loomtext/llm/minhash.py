@@ -4,7 +4,7 @@ Two collections of ``COLLECTION`` sub-hashes (``ROWS`` minhashes each) are compu
 of a sub-hash from the first and one from the second is the key of a table, so ``COLLECTION ** 2`` tables of
 ``2 * ROWS`` rows need only ``2 * COLLECTION * ROWS`` minhashes, about the square root of what separate tables would.
 Documents that meet in a table are candidates, and every candidate pair is confirmed on its full sets.  With 12 and 3, a
-pair at similarity 0.85 meets with probability 0.99998, at 0.9 with 0.9999997.
+pair at similarity 0.8 meets with probability 0.9996, at 0.85 with 0.99998, at 0.9 with 0.9999997.
 
 Equal sets are collapsed to their smallest doc_id first.  Tables are range-partitioned by (key, doc), so a bucket that a
 third of all documents share is spread over many tasks.  A bucket of up to ``PIVOTS`` + 1 sets gives all its pairs; of a
