@@ -1,6 +1,8 @@
 """Cases from the review of round 1."""
 
-from loomtext.llm import minhash
+import numpy as np
+
+from loomtext.llm import minhash, quality_classifier
 
 
 def test_near_stage_links_at_080(spark):
@@ -15,3 +17,25 @@ def test_near_stage_links_at_080(spark):
     assert 0.8 <= both / (len(a) + len(b) - both) < 0.85
     docs = spark.createDataFrame([(1, " ".join(base), "en", "s", 1), (2, " ".join(other), "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     assert [r.doc_id for r in C.near_stage(spark, docs, "").collect()] == [1]
+
+
+def test_classifier_merges_no_rounded_vectors(spark):
+    rng = np.random.default_rng(1)
+    x = np.unique(rng.integers(0, 9, (20000, len(quality_classifier.FEATURES))), axis=0) / quality_classifier.STEPS
+    vectors = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "doc_id long, quality_x array<float>")
+    got = quality_classifier.cells(vectors)
+    n = got.count() if hasattr(got, "count") and not isinstance(got, tuple) else len(got[0])
+    assert n == len(x) > 1 << 14
+
+
+def test_classifier_in_shares_is_the_whole_fit(spark):
+    """Trained by several tasks, one of them perhaps without rows, the model is that of all cells in one place."""
+    rng = np.random.default_rng(2)
+    for n in (3, 400):
+        x = np.round(rng.random((n, len(quality_classifier.FEATURES))) * 8) / 8
+        vectors = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "doc_id long, quality_x array<float>")
+        good = [(k, 1) for k in range(n) if x[k, 0] > 0.5 or k == 0]
+        model = quality_classifier.fit(vectors, spark.createDataFrame(good, "doc_id long, quality int"), steps=30)
+        p, u = x[[k for k, _ in good]], x
+        whole = quality_classifier._learn(p, np.ones(len(p)), u, np.ones(n), 30, lambda a, most=False: a)
+        assert np.allclose(model.score(x), whole.score(x), atol=1e-6)
