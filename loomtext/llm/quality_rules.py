@@ -6,10 +6,12 @@ summarised in KLL quantile sketches per (lang, source).  Sketches are mergeable,
 map tasks build partial ones, and small groups merge into their language's sketch and
 that into the corpus's, instead of being judged by a handful of rows.
 
-A cutoff is an outer fence: a middle quantile plus ``spread`` times the distance between
-it and an outer quantile, but never less than ``least`` beyond the middle.  So a clean
-group of documents loses nothing, however many documents it has, and no share of rows is
-always cut off.
+A cutoff is an outer fence: the median plus ``spread`` times the distance to the upper quartile or, if that is less (most
+documents have none of a signal), times what one occurrence comes to in a document of the group's median length; ``least``
+guards groups of very long documents. The mean word length has a fence on both sides.  Quartiles lie in the junk where that
+is common, so a group's fence is held within ``SLACK`` of the typical one: the median over the fences of its language's
+groups, each counted once however large it is (over the corpus's groups where a language has too few; word lengths differ
+between languages and are then not held).  A clean group loses nothing and no share of rows is always cut off.
 
 Edge cases: null or empty text has no words, all counts 0, ``base_failed`` true; null
 lang or source is a group of its own; an empty table gives an empty table; repeated
@@ -21,16 +23,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .shared import settled
+
 WS = r"\x20\x09-\x0D"
 SYMBOLS = r"[#*$%&|<>]"
 
-#: (signal, middle quantile, outer quantile, spread, least distance from the middle)
+#: (signal, spread, what an occurrence is counted in, how many of these it takes up, least distance from the median, most that a cutoff may be)
 SIGNALS = (
-    ("symbol_rate", 0.5, 0.75, 6.0, 0.10),
-    ("upper_rate", 0.5, 0.75, 6.0, 0.30),
-    ("repeat_rate", 0.5, 0.75, 6.0, 0.30),
-    ("dup_line_rate", 0.5, 0.75, 6.0, 0.60),
+    ("symbol_rate", 10.0, "words", 1.0, 0.02, None),
+    ("upper_rate", 10.0, "words", 1.0, 0.02, None),
+    ("repeat_rate", 8.0, "words", 6.0, 0.05, 0.9),
+    ("dup_line_rate", 4.0, "n_lines", 1.0, 0.2, 0.9),
 )
+LENGTH, LENGTH_SPREAD = "word_length", 10.0
+SKETCHED = (*(x[0] for x in SIGNALS), LENGTH, "words", "n_lines")
+CUTS = (*(x[0] for x in SIGNALS), "low_length", "high_length")
+#: a group's fence against the typical one; word lengths vary far less than rates
+SLACK, LENGTH_SLACK = 2.0, 1.15
+#: rows that make a group's fence count for the typical one, and groups that a language needs for its own
+VOTES, GROUPS = 20, 3
 MIN_GROUP = 200
 SKETCH_K = 200
 
@@ -95,42 +106,57 @@ def measure(docs: DataFrame) -> DataFrame:
         "q_upper_rate": rate("q_upper", "q_words"),
         "q_repeat_rate": rate("q_repeat", "q_words"),
         "q_dup_line_rate": rate("q_dup_lines", "q_n_lines"),
+        "q_word_length": rate("q_chars", "q_words"),
     }).drop("q_w", "q_h", "q_p", "q_lines")
 
 
-def _fences(sketches: DataFrame, prefix: str) -> list[Column]:
+def _fences(prefix: str) -> list[Column]:
+    at = lambda name, q: F.expr(f"IF(n > 0, kll_sketch_get_quantile_double(k_{name}, {q}D), NULL)")
     out = []
-    for name, mid, outer, spread, least in SIGNALS:
-        m, o = (F.expr(f"IF(n > 0, kll_sketch_get_quantile_double(k_{name}, {q}D), NULL)") for q in (mid, outer))
-        out.append((m + F.greatest(F.lit(least), F.lit(spread) * (o - m))).alias(f"{prefix}_{name}"))
+    for name, spread, unit, takes, least, most in SIGNALS:
+        m = at(name, 0.5)
+        fence = m + F.greatest(F.lit(least), F.lit(spread) * F.greatest(at(name, 0.75) - m, F.lit(takes) / F.greatest(at(unit, 0.5), F.lit(1.0))))
+        out.append((fence if most is None else F.least(fence, F.lit(most))).alias(f"{prefix}_{name}"))
+    m = at(LENGTH, 0.5)
+    out.append((m - LENGTH_SPREAD * F.greatest(m - at(LENGTH, 0.25), F.lit(0.02) * m)).alias(f"{prefix}_low_length"))
+    out.append((m + LENGTH_SPREAD * F.greatest(at(LENGTH, 0.75) - m, F.lit(0.02) * m)).alias(f"{prefix}_high_length"))
     return out
 
 
 def thresholds(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """One row per (lang, source): the cutoffs of its own sketches if it has ``min_group`` documents, else those of
-    its language's merged sketches, else those of the whole corpus's."""
+    its language's merged sketches, else those of the whole corpus's; all held near the typical ones."""
     # base_failed rows count as null, which sketches skip; a filter would be pushed below and measure everything again
-    sketch = [F.expr(f"kll_sketch_agg_double(IF(q_base_failed, NULL, q_{s[0]}), {SKETCH_K})").alias(f"k_{s[0]}") for s in SIGNALS]
-    merge = [F.expr(f"kll_merge_agg_double(k_{s[0]})").alias(f"k_{s[0]}") for s in SIGNALS]
+    sketch = [F.expr(f"kll_sketch_agg_double(IF(q_base_failed, NULL, CAST(q_{s} AS DOUBLE)), {SKETCH_K})").alias(f"k_{s}") for s in SKETCHED]
+    merge = [F.expr(f"kll_merge_agg_double(k_{s})").alias(f"k_{s}") for s in SKETCHED]
     group = measured.groupBy("lang", "source").agg(F.count_if(~F.col("q_base_failed")).alias("n"), *sketch)
     lang = group.groupBy("lang").agg(F.sum("n").alias("n"), *merge)
     whole = lang.groupBy().agg(F.sum("n").alias("n"), *merge)
-    own = group.select("lang", "source", F.col("n").alias("n_group"), *_fences(group, "g"))
-    per = lang.select(F.col("lang").alias("l_lang"), F.col("n").alias("n_lang"), *_fences(lang, "l"))
-    every = whole.select(*_fences(whole, "c"))
-    joined = own.join(F.broadcast(every)).join(per, F.col("lang").eqNullSafe(F.col("l_lang")))
-    cut = [
-        F.when(F.col("n_group") >= min_group, F.col(f"g_{s[0]}")).when(F.col("n_lang") >= min_group, F.col(f"l_{s[0]}")).otherwise(F.col(f"c_{s[0]}")).alias(f"cut_{s[0]}")
-        for s in SIGNALS
-    ]
+    own = settled(group.select("lang", "source", F.col("n").alias("n_group"), *_fences("g")))
+    per = lang.select(F.col("lang").alias("l_lang"), F.col("n").alias("n_lang"), *_fences("l"))
+    vote = F.col("n_group") >= VOTES
+    typical = lambda p: [F.median(F.when(vote, F.col(f"g_{c}"))).alias(f"{p}_{c}") for c in CUTS]
+    of_lang = own.groupBy(F.col("lang").alias("t_lang_")).agg(F.count_if(vote).alias("n_votes"), *typical("tl"))
+    every = whole.select(*_fences("c")).crossJoin(own.groupBy().agg(*typical("tc")))
+    joined = own.join(F.broadcast(every)).join(per, F.col("lang").eqNullSafe(F.col("l_lang"))).join(of_lang, F.col("lang").eqNullSafe(F.col("t_lang_")))
+    enough, cut = F.col("n_votes") >= GROUPS, []
+    for c in CUTS:
+        fence = F.when(F.col("n_group") >= min_group, F.col(f"g_{c}")).when(F.col("n_lang") >= min_group, F.col(f"l_{c}")).otherwise(F.col(f"c_{c}"))
+        if c == "low_length":
+            fence = F.greatest(fence, F.when(enough, F.col(f"tl_{c}") / LENGTH_SLACK))
+        elif c == "high_length":
+            fence = F.least(fence, F.when(enough, F.col(f"tl_{c}") * LENGTH_SLACK))
+        else:
+            fence = F.least(fence, SLACK * F.when(enough, F.col(f"tl_{c}")).otherwise(F.col(f"tc_{c}")))
+        cut.append(fence.alias(f"cut_{c}"))
     return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *cut)
 
 
 def judge(measured: DataFrame, cuts: DataFrame) -> DataFrame:
     """Adds ``q_kept``: not base_failed and within every cutoff of its (lang, source)."""
-    within = F.lit(True)
+    within = F.coalesce(F.col(f"q_{LENGTH}").between(F.col("cut_low_length"), F.col("cut_high_length")), F.lit(True))
     for s in SIGNALS:
         within = within & F.coalesce(F.col(f"q_{s[0]}") <= F.col(f"cut_{s[0]}"), F.lit(True))
     on = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
     joined = measured.join(cuts, on, "left")
-    return joined.withColumn("q_kept", ~F.col("q_base_failed") & within).drop("t_lang", "t_source", *[f"cut_{s[0]}" for s in SIGNALS])
+    return joined.withColumn("q_kept", ~F.col("q_base_failed") & within).drop("t_lang", "t_source", *[f"cut_{c}" for c in CUTS])

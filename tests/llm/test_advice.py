@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from loomtext.llm import minhash, quality_classifier
+from loomtext.llm import minhash, quality_classifier, quality_rules
 
 
 def test_near_stage_links_at_080(spark):
@@ -39,3 +39,19 @@ def test_classifier_in_shares_is_the_whole_fit(spark):
         p, u = x[[k for k, _ in good]], x
         whole = quality_classifier._learn(p, np.ones(len(p)), u, np.ones(n), 30, lambda a, most=False: a)
         assert np.allclose(model.score(x), whole.score(x), atol=1e-6)
+
+
+def test_a_dirty_group_does_not_keep_its_junk(spark):
+    """One source is the largest and 40 % junk of two kinds: symbols, and words of an odd length."""
+    rows, k = [], 0
+    for source, n in (("a", 30), ("b", 30), ("c", 30), ("hot", 300)):
+        for i in range(n):
+            words = [f"w{(i * 7 + j) % 90}{'x' * (j % 5)}" for j in range(100)]
+            junk = source == "hot" and i % 5 < 2
+            if junk:
+                words = [f"{w} #" for w in words[:50]] if i % 5 else [w + "y" * 20 for w in words]
+            rows.append((k, " ".join(words), "en", source, junk))
+            k += 1
+    measured = quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, junk boolean")).localCheckpoint()
+    got = quality_rules.judge(measured, quality_rules.thresholds(measured)).select("q_kept", "junk").collect()
+    assert not any(r.q_kept for r in got if r.junk) and all(r.q_kept for r in got if not r.junk)
