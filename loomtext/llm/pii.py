@@ -6,6 +6,9 @@ Every kind's matches are leftmost and non-overlapping.  ``split`` gives the text
 the middle of a long run of their own first class are anchored to the run's start or the end of the previous match
 (``\\G``), and use possessive repeats, so that time is linear in the text however it looks; the matches are the same.
 
+A proposed IBAN is cut to its country's length, so that capitals or digits after it don't hide it; one of a country that isn't
+registered is reported only with a context word before it.
+
 Edge cases: null or empty text has no spans; null doc_id and repeated rows are kept as they are; an empty table gives
 an empty table.
 """
@@ -27,6 +30,8 @@ class Kind:
     base_score: float
     context: str  # words before the match that raise its score
     least: float = 0.0  # spans with a lower score are not reported; 0 for the base kinds
+    whole: Callable[[Column], Column] | None = None  # the pattern's match is a head, its group 1 what may follow; this gives the value that both hold, or null
+    weak: Callable[[Column], Column] | None = None  # values that need a context word to be reported
 
 
 def digits(m: Column) -> Column:
@@ -72,13 +77,32 @@ def _ip(m: Column) -> Column:
     return F.forall(F.split(m, r"\."), lambda p: (F.length(F.regexp_replace(p, "^0+", "")) <= 3) & (F.substring(F.concat(F.lit("00"), F.regexp_replace(p, "^0+", "")), -3, 3) <= "255"))
 
 
+#: ISO 13616: length of an IBAN by country
+_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_REGISTERED = "^(?:" + "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in _LENGTHS.items()) + ")(?![A-Za-z0-9])"
+_COUNTRIES = "^(?:" + "|".join(c for v in _LENGTHS.values() for c in v.split()) + ")"
+
+
+def _iban(run: Column) -> Column:
+    """The IBAN that a run of capitals and digits begins with: as long as its country's are; for a country that isn't
+    registered, the longest one with a valid checksum that ends at a border."""
+    own = F.regexp_extract(run, _REGISTERED, 0)
+    cut = lambda n: F.call_function("regexp_extract", run, F.concat(F.lit(r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){"), n.cast("string"), F.lit("}(?![A-Za-z0-9])")), F.lit(0))
+    some = F.filter(F.transform(F.sequence(F.lit(30), F.lit(11), F.lit(-1)), cut), lambda x: (x != "") & mod97(x))
+    return F.when(run.rlike(_COUNTRIES), F.when((own != "") & mod97(own), own)).otherwise(F.get(some, F.lit(0)))
+
+
 _EMAIL = "A-Za-z0-9._%+-"
 KINDS = (
     Kind("email", rf"(?:\G|(?<![{_EMAIL}]))[{_EMAIL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda m: F.lit(True), 0.8, r"mail|contact|write"),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", _ip, 0.6, r"ip|server|host|address"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"(?:[0-9][\x20-]?){13}", _card, 0.7, r"card|visa|pay|credit"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", _phone, 0.6, r"phone|tel|call|mobile"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}", mod97, 0.6, r"iban|account|bank|konto", 0.5),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}[A-Za-z0-9]?))", r"[A-Z]{2}[0-9]{2}", lambda m: F.lit(True), 0.6, r"iban|account|bank|konto", 0.5, _iban, lambda m: ~m.rlike(_COUNTRIES)),
 )
 BASE = ("email", "ip", "card", "phone")
 NEAR = 24
@@ -86,15 +110,21 @@ NEAR = 24
 
 def _spans(k: Kind) -> Column:
     """The confirmed matches as array<struct<kind, start, end, value, score>>, from the columns m_, p_ and a_ of the kind."""
-    matches, pieces, starts = (F.col(f"{x}_{k.name}") for x in "mpa")
+    matches, pieces, starts = (F.col(f"{x}_{k.name}") for x in ("v" if k.whole else "m", "p", "a"))
+    base = lambda m: F.lit(k.base_score) - F.when(k.weak(m), 0.2).otherwise(0.0) if k.weak else F.lit(k.base_score)
     found = F.transform(
         matches,
         lambda m, i: F.struct(
             F.lit(k.name).alias("kind"), F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(m)).alias("end"), m.alias("value"),
-            F.least(F.lit(1.0), F.lit(k.base_score) + F.when(F.lower(F.substring(F.get(pieces, i), -NEAR, NEAR)).rlike(rf"\b(?:{k.context})"), 0.2).otherwise(0.0)).alias("score"),
+            F.least(F.lit(1.0), base(m) + F.when(F.lower(F.substring(F.get(pieces, i), -NEAR, NEAR)).rlike(rf"\b(?:{k.context})"), 0.2).otherwise(0.0)).alias("score"),
         ),
     )
-    return F.filter(found, lambda s: k.valid(s["value"]) & (s["score"] >= k.least))
+    good = F.filter(found, lambda s: k.valid(s["value"]) & (s["score"] >= k.least))
+    if not k.whole:
+        return good
+    # heads may lie within an earlier value
+    good = F.filter(good, lambda s: s["value"].isNotNull())
+    return F.filter(good, lambda s, i: ~F.exists(F.slice(good, F.lit(1), i), lambda x: x["end"] > s["start"]))
 
 
 def _starts(k: Kind) -> Column:
@@ -116,9 +146,13 @@ def find(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     may = {k.name: F.contains(t, F.lit(k.hint)) if k.hint == "@" else t.rlike(k.hint) for k in kinds}
     d = docs.withColumns({f"m_{k.name}": F.when(may[k.name], F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))).otherwise(none) for k in kinds})
     d = d.withColumns({f"p_{k.name}": F.when(F.size(f"m_{k.name}") > 0, F.split(t, k.pattern, -1)).otherwise(none) for k in kinds})
+    for k in kinds:
+        if k.whole:
+            after = F.when(F.size(f"m_{k.name}") > 0, F.regexp_extract_all(t, F.lit(k.pattern), F.lit(1))).otherwise(none)
+            d = d.withColumn(f"v_{k.name}", F.transform(F.zip_with(f"m_{k.name}", after, lambda a, b: F.concat(a, b)), k.whole))
     d = d.withColumns({f"a_{k.name}": _starts(k) for k in kinds})
     d = d.withColumns({f"pii_{k.name}": _spans(k) for k in kinds})
-    return d.drop(*[f"{x}_{k.name}" for k in kinds for x in "mpa"])
+    return d.drop(*[f"{x}_{k.name}" for k in kinds for x in "mpav"])
 
 
 def digest(spans: list[Column]) -> Column:

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from loomtext.llm import minhash, quality_classifier, quality_rules
+from loomtext.llm import minhash, pii, quality_classifier, quality_rules
 
 
 def test_near_stage_links_at_080(spark):
@@ -55,3 +55,15 @@ def test_a_dirty_group_does_not_keep_its_junk(spark):
     measured = quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, junk boolean")).localCheckpoint()
     got = quality_rules.judge(measured, quality_rules.thresholds(measured)).select("q_kept", "junk").collect()
     assert not any(r.q_kept for r in got if r.junk) and all(r.q_kept for r in got if not r.junk)
+
+
+def test_ibans_before_capitals_and_digits(spark):
+    de, gb = "DE89370400440532013000", "GB82WEST12345698765432"
+    odd = next(f"ZZ{k:02d}ABCD12345678901" for k in range(100) if int("".join(str(int(c, 36)) for c in f"ABCD12345678901ZZ{k:02d}")) % 97 == 1)
+    want = {
+        f"{de} BIC COBADEFFXXX": [de], f"{de} 12 EUR": [de], f"{gb} I paid": [gb], f"{de} {gb}": [de, gb], f"{gb} {gb} {de} 1": [gb, gb, de], f"AB12 {de}": [de],
+        "DE89 3704 0044 0532 0130 00 Bank": ["DE89 3704 0044 0532 0130 00"], f"{de}1": [], f"no {odd}": [], f"account {odd} 12 AB": [odd],
+    }
+    d = spark.createDataFrame([(k, t) for k, t in enumerate(want)], "doc_id long, text string")
+    got = {r.text: [(s.value, r.text[s.start : s.end]) for s in r.pii_iban] for r in pii.find(d).collect()}
+    assert got == {t: [(v, v) for v in x] for t, x in want.items()}
