@@ -2,11 +2,15 @@
 
 A tree builder turns markup into elements: void elements, raw text (script, style), implied end tags (p, li, dt, dd, option,
 rows, cells, table parts), implied rows, and end tags that close what is still open inside.  A renderer walks the tree,
-leaves out what is not shown (head, scripts, ``hidden``, ``display:none`` and ``visibility:hidden`` by attribute or a simple
-rule of the page's own style sheet, closed details) and emits all other text: white space collapsed, blank lines around
+leaves out what is not shown (head, scripts, ``hidden``, ``display:none`` and ``visibility:hidden`` by attribute or by the
+page's own style sheets, closed details, SVG outside its text elements) and emits all other text: white space collapsed, blank lines around
 paragraphs, headings, lists and tables, list markers with indents, table cells in aligned columns (``colspan`` and
 ``rowspan`` are honoured; a column is padded to ``WIDEST`` at most), ``pre`` as it is.
 
+Rules for other media than the screen are skipped.  Rules cascade by importance, specificity and order.  A rule counts as
+hiding only where it is sure to apply (a compound of tag, classes and id; no media features); one that shows also counts
+where it may apply, so that text is kept in doubt.
+
 Edge cases: null html gives null, empty html an empty text; broken markup is text or is closed at the end; nesting of any
 depth takes no recursion; repeated rows and extra columns are kept (``html_text`` is reserved); an empty table gives an
 empty table.
@@ -26,12 +30,16 @@ _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]{0,8192}\"|'[^']{0,8192}')*+|[^>]*)>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_NONE, _INVISIBLE = re.compile(r"display\s*:\s*none", re.I), re.compile(r"visibility\s*:\s*(?:hidden|collapse)", re.I)
+_SHEET = re.compile(r"([^{};]*)([{};])")
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)[^;!]*(!\s*important)?", re.I)
+_COMPOUND = re.compile(r"(?:\*|[a-zA-Z][\w-]*)?(?:[.#][\w-]+)*")
+#: states that a page isn't in when it is opened, and boxes that aren't elements
+_NEVER = re.compile(r":(?:hover|focus|active|target|visited|before|after|first-line|first-letter|placeholder|selection|backdrop|marker)", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas svg math datalist noembed noframes meta link".split())
+UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas datalist noembed noframes meta link".split())
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr form fieldset".split())
 BLOCK = SPACED | frozenset(
     "html body div section article aside header footer nav main address li dt dd details summary figcaption caption center dir menu legend tr td th tbody thead tfoot option optgroup".split()
@@ -69,6 +77,16 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
+def _foreign(stack: list[Element]) -> bool:
+    """Whether svg or math is open, where any element may close itself."""
+    for e in reversed(stack):
+        if e.tag in ("svg", "math"):
+            return True
+        if e.tag in ("foreignobject", "annotation-xml"):
+            return False
+    return False
+
+
 def build(source: str) -> tuple[Element, list[str]]:
     """(root, style sheets)."""
     root = Element("html", {})
@@ -135,28 +153,102 @@ def build(source: str) -> tuple[Element, list[str]]:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
             inner = source[at : end.start() if end else len(source)]
             if tag == "style":
-                styles.append(inner)
+                styles.append(f"@media {element.attributes['media']}{{{inner}}}" if element.attributes.get("media", "").strip() else inner)
             elif tag != "script":
                 element.children.append(html.unescape(inner))
             at = end.end() if end else len(source)
-        elif tag not in VOID and not (raw.endswith("/") and tag in ("svg", "math")):
+        elif tag not in VOID and not (raw.endswith("/") and (tag in ("svg", "math") or _foreign(stack))):
             stack.append(element)
 
 
-def hidden_selectors(styles: list[str]) -> tuple[set[str], set[str]]:
-    """Simple selectors (tag, .class, #id) that the style sheets don't display, and those they make invisible."""
-    none, invisible = set(), set()
+def _applies(at_rule: str) -> bool | None:
+    """Whether a block's rules apply on a screen; None if that can't be told."""
+    m = re.match(r"@([\w-]+)\s*(.*)", at_rule, re.S)
+    name, rest = m[1].lower() if m else "", m[2].lower() if m else ""
+    if name == "layer":
+        return True
+    if name in ("supports", "container", "scope"):
+        return None
+    if name != "media":
+        return False
+    found: list[bool | None] = []
+    for query in rest.split(","):
+        q = re.fullmatch(r"\s*(only\s+|not\s+)?([\w-]+)?\s*(.*)", query, re.S)
+        met = q[2] in ("screen", "all") if q[2] else True
+        if (q[1] or "").strip() == "not":
+            found.append(None if q[3] or not q[2] else not met)
+        else:
+            found.append(None if met and q[3] else met)
+    return True if True in found else None if None in found else False
+
+
+def _declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """display and visibility: (important, shown)."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for name, value, important in _DECLARED.findall(body):
+        name, value = name.lower(), value.lower()
+        new = (bool(important), value not in ("none", "hidden", "collapse"))
+        if name not in out or new[0] >= out[name][0]:
+            out[name] = new
+    return out
+
+
+def rules(styles: list[str]) -> dict[str, list[tuple]]:
+    """By one name that it asks for ("*" if none): (all names, property, sure, rank, shown) of each rule for display and visibility."""
+    out: dict[str, list[tuple]] = {}
+    order = 0
     for sheet in styles:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            for kind, pattern in ((none, _NONE), (invisible, _INVISIBLE)):
-                if pattern.search(body):
-                    kind.update(s.strip() for s in selectors.split(",") if re.fullmatch(r"[.#]?[\w-]+", s.strip()))
-    return none, invisible
+        sheet = re.sub(r"/\*.*?(?:\*/|$)|<!--|-->", "", sheet, flags=re.S)
+        open_blocks: list[bool | None] = []  # whether each open block applies
+        selectors, body = None, ""
+        for text, sign in [*_SHEET.findall(sheet), ("", "}")]:
+            if selectors is not None:  # in a rule
+                body += text + ";"
+                if sign != "}":
+                    continue
+                sure = False if False in open_blocks else None if None in open_blocks else True
+                declared = _declared(body) if sure is not False else {}
+                for selector in selectors.split(",") if declared else ():
+                    selector, order = selector.strip(), order + 1
+                    if not selector or _NEVER.search(selector):
+                        continue
+                    whole = bool(_COMPOUND.fullmatch(selector))
+                    weight = (selector.count("#"), len(re.findall(r"[.\[]|(?<!:):(?!:)", selector)), len(re.findall(r"(?:^|[\s>+~])[a-zA-Z]", selector)))
+                    last = selector if whole else re.split(r"[\s>+~]+", re.sub(r"\([^()]*\)|\[[^\]]*\]", "", selector).strip())[-1]
+                    names = re.findall(r"[.#][\w-]+", re.sub(r":+[\w-]+", "", last))
+                    if tag := re.match(r"[a-zA-Z][\w-]*", last):
+                        names.append(tag[0].lower())
+                    for kind, (important, shown) in declared.items():
+                        certain = whole and sure is True
+                        if certain or shown:
+                            out.setdefault(names[0] if names else "*", []).append((frozenset(names), kind, certain, (important, 0, *weight, order), shown))
+                selectors = None
+            elif sign == "{":
+                head = text.strip()
+                if head.startswith("@"):
+                    open_blocks.append(_applies(head))
+                else:
+                    selectors, body = head, ""
+            elif sign == "}" and open_blocks:
+                open_blocks.pop()
+    return out
 
 
-def _names(e: Element) -> list[str]:
-    a = e.attributes
-    return [e.tag, *("." + c for c in a.get("class", "").split()), *(["#" + a["id"]] if a.get("id") else [])]
+def _state(e: Element, found: dict[str, list[tuple]]) -> dict[str, bool]:
+    """Whether display and visibility show the element, where anything says so."""
+    a, ranked = e.attributes, []
+    if "hidden" in a and a["hidden"] != "until-found" or e.tag == "dialog" and "open" not in a:
+        ranked.append(("display", True, (False, -1), False))
+    if a.get("style"):
+        ranked += [(kind, True, (important, 1), shown) for kind, (important, shown) in _declared(re.sub(r"/\*.*?\*/", "", a["style"], flags=re.S)).items()]
+    if found:
+        names = {e.tag, *("." + c for c in a.get("class", "").split()), *(["#" + a["id"]] if a.get("id") else [])}
+        ranked += [r[1:] for n in (*names, "*") for r in found.get(n, ()) if r[0] <= names]
+    out = {}
+    for kind in {r[0] for r in ranked}:
+        top = max((r for r in ranked if r[0] == kind and r[1]), key=lambda r: r[2], default=None)
+        out[kind] = top is None or top[3] or any(r[0] == kind and r[3] and r[2] > top[2] for r in ranked)
+    return out
 
 
 class _Sheet:
@@ -251,16 +343,16 @@ def _table(rows: list[list[tuple[str, int, int]]]) -> list[str]:
 def render(source: str) -> str:
     """The text that the page shows."""
     root, styles = build(source)
-    none, invisible = hidden_selectors(styles)
+    found = rules(styles)
     sheet = _Sheet()
     #: one frame for each sheet, table or list that is open, put back when its element ends
     lists: list[list] = []
     tables: list[list] = []
-    work: list[tuple] = [("open", root, True, False)]
+    work: list[tuple] = [("open", root, True, False, None)]  # the last: in SVG, whether its text is drawn
     while work:
-        kind, node, seen, pre = work.pop()
+        kind, node, seen, pre, drawn = work.pop()
         if kind == "text":
-            if seen:
+            if seen and drawn is not False:
                 sheet.verbatim(node) if pre else sheet.text(node)
             continue
         tag = node.tag
@@ -281,6 +373,8 @@ def render(source: str) -> str:
                     if line:
                         sheet.gap(1)
                         sheet.verbatim(line)
+            if tag in ("mtr", "mtd", "mfrac") or tag == "text" and drawn:
+                sheet.text(" ")
             if tag == "q" and seen:
                 sheet.text('"')
             if tag in BLOCK:
@@ -289,14 +383,19 @@ def render(source: str) -> str:
         a = node.attributes
         if tag in UNSEEN:
             continue
-        style = a.get("style", "")
-        names = _names(node) if none or invisible else ()
-        if "hidden" in a and a["hidden"] != "until-found" or style and _NONE.search(style) or (tag == "input" or tag == "dialog" and "open" not in a) or any(x in none for x in names):
+        state = _state(node, found) if a or found or tag == "dialog" else {}
+        if tag == "input" or not state.get("display", True):
+            continue
+        seen = state.get("visibility", seen)
+        if drawn is not None and tag in UNDRAWN or tag == "annotation":
             continue
-        if style and "visibility" in style.lower():
-            seen = not _INVISIBLE.search(style)
-        elif any(x in invisible for x in names):
-            seen = False
+        if tag == "svg":
+            drawn = False
+        elif drawn is not None and tag in ("text", "foreignobject"):
+            drawn = None if tag == "foreignobject" else True
+            sheet.text(" ")
+        elif tag in ("mtr", "mtd", "mfrac"):
+            sheet.text(" ")
         if tag == "br":
             sheet.line()
             continue
@@ -342,12 +441,12 @@ def render(source: str) -> str:
         inner_pre = pre or tag in ("pre", "listing", "xmp", "textarea")
         if tag == "pre" and children and isinstance(children[0], str) and children[0].startswith("\n"):
             children = [children[0][1:], *children[1:]]
-        work.append(("close", node, seen, pre))
+        work.append(("close", node, seen, pre, drawn))
         for c in reversed(children):
             if not isinstance(c, str):
-                work.append(("open", c, seen, inner_pre))
+                work.append(("open", c, seen, inner_pre, drawn))
             elif not (tag in ("table", "tr", "tbody", "thead", "tfoot", "ul", "ol") and c.isspace()):
-                work.append(("text", c, seen, inner_pre))
+                work.append(("text", c, seen, inner_pre, drawn))
     return sheet.result()
 
 

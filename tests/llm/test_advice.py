@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from loomtext.llm import minhash, pii, quality_classifier, quality_rules
+from loomtext.llm import html_text, minhash, pii, quality_classifier, quality_rules
 
 
 def test_near_stage_links_at_080(spark):
@@ -67,3 +67,14 @@ def test_ibans_before_capitals_and_digits(spark):
     d = spark.createDataFrame([(k, t) for k, t in enumerate(want)], "doc_id long, text string")
     got = {r.text: [(s.value, r.text[s.start : s.end]) for s in r.pii_iban] for r in pii.find(d).collect()}
     assert got == {t: [(v, v) for v in x] for t, x in want.items()}
+
+
+def test_html_that_is_shown_stays():
+    css = "@charset 'x';@media print{.np{display:none}} @media (max-width:1px){.mq{display:none}} .tab{display:none} .tab.active{display:block} #a .low{display:block} .low{display:none} @media screen{.gone{display:none}} .no{display:none!important} .v{visibility:hidden} .w{visibility:visible}"
+    show = lambda body: html_text.render(f"<style>{css}</style><body>{body}")
+    for shown in ("<p class=np>x", "<p class=mq>x", "<p class='tab active'>x", "<p class=tab style='display:block'>x", "<p class=low>x", "<p hidden style='display:block'>x", "<div class=v><b class=w>x</b></div>"):
+        assert show(shown) == "x", shown
+    for hidden in ("<p class=tab>x", "<p class=gone>x", "<p class=no style='display:block'>x", "<p class=v>x", "<p hidden>x", "<p style='display:block;display:none'>x"):
+        assert show(hidden) == "", hidden
+    assert html_text.render("<style media=print>p{display:none}</style><p>x") == "x"
+    assert html_text.render("a <svg><defs/><title>t</title><circle r=1 /><text>b</text><desc>d</desc></svg> <math><mi>c</mi><mo>=</mo><mn>2</mn></math> e") == "a b c=2 e"
