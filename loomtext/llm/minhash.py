@@ -3,17 +3,25 @@
 Two collections of ``COLLECTION`` sub-hashes (``ROWS`` minhashes each) are computed for each set of shingles.  Every pair
 of a sub-hash from the first and one from the second is the key of a table, so ``COLLECTION ** 2`` tables of
 ``2 * ROWS`` rows need only ``2 * COLLECTION * ROWS`` minhashes, about the square root of what separate tables would.
-Documents that meet in a table are candidates, and every candidate pair is confirmed on its full sets.  With 12 and 3, a
+Documents that meet in a bucket of a table are candidates, and every link is confirmed on full sets.  With 12 and 3, a
 pair at similarity 0.8 meets with probability 0.9996, at 0.85 with 0.99998, at 0.9 with 0.9999997.
 
-Equal sets are collapsed to their smallest doc_id first.  Tables are range-partitioned by (key, doc), so a bucket that a
-third of all documents share is spread over many tasks.  A bucket of up to ``PIVOTS`` + 1 sets gives all its pairs; of a
-larger one each set meets the bucket's ``PIVOTS`` smallest; if these links leave the bucket in several components, the
-sets outside the main one meet all others of it, in blocks.
+Equal sets are collapsed to one node first.  Tables are range-partitioned by (key, node), so a bucket that a third of all
+documents share is spread over many tasks.  No pair is left out, but most are settled without being compared:
+
+1. Each node is compared with one other: the smallest of those that come first in a bucket of its.  The links are contracted.
+2. Of the buckets that still hold several components, small ones (up to ``SMALL`` nodes) compare all pairs of unlike
+   components; in large ones, nodes outside the bucket's main component (the one with most nodes there) meet a few of it.
+   The links are contracted again.
+3. What is then still outside the main component of a large bucket meets all nodes there, in blocks.
+
+So all pairs that share a bucket are in one component, or have been compared.
 
 Edge cases: null or empty text, or text without words, has an empty set and is linked with nothing; fewer words than a
 shingle make one shingle; a null doc_id is linked with nothing and kept; rows that repeat a doc_id are linked by their
-own texts; extra columns are kept by ``keep_one``; an empty table gives an empty table.
+own texts, and rows alike in both are one document; very long texts are hashed in parts; of a component with several texts
+of the smallest doc_id the one with the smallest hash stays; extra columns of any name are kept by ``keep_one``; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .shared import settled, tidy
+from .shared import fresh, settled, tidy
 
-SHINGLE, COLLECTION, ROWS, PIVOTS = 5, 12, 3, 8
+SHINGLE, COLLECTION, ROWS, SMALL = 5, 12, 3, 9
 _MAP = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -99,13 +107,13 @@ def _signature(x: np.ndarray) -> np.ndarray:
     return h
 
 
-_SIGNED = "nd_doc long, nd_n long, nd_f1 long, nd_f2 long, nd_sig array<long>"
+_SIGNED = "nd_doc long, nd_text long, nd_n long, nd_f1 long, nd_f2 long, nd_sig array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, f1, f2, sig = [], [], [], []
-        for text in batch.column(1).cast(pa.binary()).to_pylist():
+        for text in batch.column(2).cast(pa.binary()).to_pylist():
             x = shingles(text or b"")
             n.append(len(x))
             f1.append(_mix(x).sum(dtype=np.uint64))
@@ -115,79 +123,95 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(sig).view(np.int64) if sig else np.empty(0, np.int64)
         offsets = np.concatenate([[0], np.cumsum(np.array(n) > 0) * 2 * COLLECTION]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-            ["nd_doc", "nd_n", "nd_f1", "nd_f2", "nd_sig"],
+            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), *(pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+            ["nd_doc", "nd_text", "nd_n", "nd_f1", "nd_f2", "nd_sig"],
         )
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(nd_doc, nd_n: size of the set, nd_f1 and nd_f2: its fingerprint, nd_sig: its sub-hashes) of docs(doc_id, text)."""
-    return docs.select("doc_id", "text").mapInArrow(_sign, _SIGNED)
+    """(nd_doc, nd_text: hash of the text, nd_n: size of the set, nd_f1 and nd_f2: its fingerprint, nd_sig: its sub-hashes) of
+    docs(doc_id, text)."""
+    return docs.select("doc_id", F.xxhash64("text"), "text").mapInArrow(_sign, _SIGNED)
 
 
-_PAIRS = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("kind", pa.int8())])
-PAIR, LARGE, EDGE = 0, 1, 2
+_MET = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("pivot", pa.int64()), ("edge", pa.bool_())])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows (key, doc) sorted by both: pairs within each bucket, the members of large ones, and the first and last
-    bucket's pivots, as these may go on in the neighbouring partitions."""
+    """Over rows (key, node) sorted by both: the rows of buckets with two nodes or more, pivot being the first of them here;
+    and as an edge the pivot of the partition's first and last bucket, which may go on in its neighbours."""
 
-    def out(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), pa.array(b), pa.array(np.full(len(key), kind, np.int8))], schema=_PAIRS)
+    def out(key: np.ndarray, node: np.ndarray, pivot: np.ndarray, edge: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(pivot), pa.array(np.full(len(key), edge))], schema=_MET)
 
-    seen_first = False
-    key_kept = doc_kept = np.empty(0, np.int64)  # of the bucket that is open: its pivots and one more
-    large = False  # that one has been found large
+    kept = None  # the first row of the bucket that is open
+    told = False  # that row has been given out
     for batch in batches:
-        key = np.concatenate([key_kept, batch.column(0).to_numpy(zero_copy_only=False)])
-        doc = np.concatenate([doc_kept, batch.column(1).to_numpy(zero_copy_only=False)])
-        old = len(key_kept)
-        if not len(key):
+        if not batch.num_rows:
             continue
-        fresh = np.concatenate([[True], key[1:] != key[:-1]])
-        begin = np.flatnonzero(fresh)
-        start = begin[np.cumsum(fresh) - 1]
-        at = np.arange(len(key))
-        if not seen_first:
-            n = min(PIVOTS, int((key == key[0]).sum()))
-            yield out(EDGE, key[:n], doc[:n], doc[:n])
-            seen_first = True
-        for u in range(PIVOTS):
-            t = np.flatnonzero((at - start > u) & (at >= old))
-            if len(t):
-                pair = doc[start[t] + u] != doc[t]
-                t = t[pair]
-                yield out(PAIR, key[t], doc[start[t] + u], doc[t])
+        key, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if kept is None:
+            yield out(key[:1], node[:1], node[:1], True)
+        else:
+            key, node = (np.concatenate([k, x]) for k, x in zip(kept, (key, node)))
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        begin = np.flatnonzero(new)
         size = np.diff(np.concatenate([begin, [len(key)]]))
-        size_of = np.repeat(size, size)
-        big = size_of > PIVOTS + 1
-        tell = big & (at >= old)
-        if old and not large:
-            tell[:old] |= big[:old]
-        t = np.flatnonzero(tell)
-        if len(t):
-            yield out(LARGE, key[t], doc[t], doc[t])
-        large = bool(big[-1])
+        pivot, many = np.repeat(node[begin], size), np.repeat(size > 1, size)
         last = int(begin[-1])
-        stop = min(len(key), last + PIVOTS + 2)
-        key_kept, doc_kept = key[last:stop], doc[last:stop]
-    if len(key_kept):
-        n = min(PIVOTS, len(key_kept))
-        yield out(EDGE, key_kept[:n], doc_kept[:n], doc_kept[:n])
+        told_last = bool(many[last]) or (last == 0 and told)
+        if told:
+            many[0] = False
+        yield out(key[many], node[many], pivot[many], False)
+        kept, told = (key[last : last + 1], node[last : last + 1]), told_last
+    if kept is not None:
+        yield out(kept[0], kept[1], kept[1], True)
+
+
+def _tables(classes: DataFrame) -> DataFrame:
+    """(key, node) for each pair of a sub-hash of the first collection and one of the second."""
+    first, second = F.slice("nd_sig", 1, COLLECTION), F.slice("nd_sig", COLLECTION + 1, COLLECTION)
+    keys = F.flatten(F.transform(F.col("nd_x"), lambda x, i: F.transform(F.col("nd_y"), lambda y, j: F.xxhash64(i, j, x, y))))
+    return classes.withColumns({"nd_x": first, "nd_y": second}).select(F.explode(keys).alias("key"), "node")
+
+
+def meetings(classes: DataFrame) -> DataFrame:
+    """(key, node, pivot, edge) of the nodes that share a bucket with others."""
+    order = [F.col("key"), F.col("node")]
+    return settled(_tables(classes).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_meet, "key long, node long, pivot long, edge boolean"))
+
+
+def _first_pairs(met: DataFrame) -> DataFrame:
+    """(a, b): for each node the smallest pivot of its buckets; and the pivots of a bucket that lies across partitions."""
+    star = met.where("pivot != node").groupBy("node").agg(F.min("pivot").alias("a")).select("a", F.col("node").alias("b"))
+    edges = met.where("edge").select("key", "pivot").distinct()  # two rows a partition at most
+    across = edges.groupBy("key").agg(F.min("pivot").alias("a"), F.collect_list("pivot").alias("bs")).select("a", F.explode("bs").alias("b")).where("a != b")
+    return star.union(across).distinct()
+
+
+def _several(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, node, c: its component, main, n) of the rows (key, node) in buckets that hold several components: main is the one
+    with most nodes there, n the number of nodes."""
+    known = rows.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    share = known.groupBy("key", "c").agg(F.count("*").alias("m"))
+    spans = share.groupBy("key").agg(F.count("*").alias("cs"), F.sum("m").alias("n"), F.max(F.struct("m", "c"))["c"].alias("main")).where("cs > 1").select("key", "main", "n")
+    return known.join(spans, "key").select("key", "node", "c", "main", "n")
 
 
-def _met(rows: DataFrame) -> DataFrame:
-    order = [F.col("key"), F.col("doc")]
-    return settled(rows.select("key", "doc").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_meet, "key long, a long, b long, kind byte"))
+#: nodes of the main component that one outside meets before it meets all
+FEW = 16
 
 
-def _pairs(met: DataFrame) -> DataFrame:
-    """Distinct candidate pairs a < b. Pivots of buckets that lie across partitions meet here; there are at most
-    2 * PIVOTS such rows a partition."""
-    edges = met.where(F.col("kind") == EDGE).select("key", F.col("a").alias("doc")).distinct()
-    across = edges.alias("x").join(F.broadcast(edges).alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") < F.col("y.doc"))).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
-    return met.where(F.col("kind") == PAIR).select("a", "b").union(across).distinct()
+def _next_pairs(open_: DataFrame) -> DataFrame:
+    """(a, b) to compare next, over rows (key, node, c, main, n)."""
+    low, high = lambda x, y: F.least(x["node"], y["node"]), lambda x, y: F.greatest(x["node"], y["node"])
+    small = open_.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_set(F.struct("node", "c")).alias("g"))
+    pairs = F.flatten(F.transform("g", lambda x, i: F.transform(F.filter(F.slice("g", i + 2, SMALL), lambda y: y["c"] != x["c"]), lambda y: F.struct(low(x, y).alias("a"), high(x, y).alias("b")))))
+    large = open_.where(F.col("n") > SMALL)
+    of_main = large.where("c = main").groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("a"))  # another one in each bucket
+    meets = large.where("c != main").join(of_main, "key").select("a", F.col("node").alias("b")).distinct()
+    few = meets.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("a", "b").alias("h"), "a"))), 1, FEW).alias("as"))
+    return small.select(F.inline(pairs)).union(few.select(F.explode("as.a").alias("a"), "b")).distinct()
 
 
 def _confirm(limit: int):
@@ -217,43 +241,26 @@ def _confirm(limit: int):
 SHARE = 2000
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, limit: int = 85) -> DataFrame:
-    """The pairs (a, b) whose sets' similarity is limit / 100 or more. Texts, not sets, are shuffled: they are smaller.
+def confirm(pairs: DataFrame, texts: DataFrame, limit: int = 80) -> DataFrame:
+    """The pairs (a, b) whose sets' similarity is limit / 100 or more, texts(node, text) having one row a node. Texts, not sets,
+    are shuffled: they are smaller.
 
     A pivot's partners are dealt over as many salts as it has thousands of them, each with a copy of the pivot.
     """
     pivots = pairs.groupBy("a").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("salts"))
-    of = pairs.join(pivots, "a").select(F.col("b").alias("id"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
-    own = pivots.select(F.col("a").alias("id"), F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    # one text for each id, were doc_id to repeat
-    need = of.union(own)
-    got = need.join(docs.select(F.col("doc_id").alias("id"), "text"), "id").select("pivot", "salt", F.col("id").alias("doc"), "text")
-    dealt = got.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "doc")
-    return dealt.mapInArrow(_confirm(limit), "a long, b long")
-
-
-def _tables(classes: DataFrame) -> DataFrame:
-    """(key, doc) for each pair of a sub-hash of the first collection and one of the second."""
-    first, second = F.slice("nd_sig", 1, COLLECTION), F.slice("nd_sig", COLLECTION + 1, COLLECTION)
-    keys = F.flatten(F.transform(F.col("nd_x"), lambda x, i: F.transform(F.col("nd_y"), lambda y, j: F.xxhash64(i, j, x, y))))
-    return classes.withColumns({"nd_x": first, "nd_y": second}).select(F.explode(keys).alias("key"), F.col("rep").alias("doc"))
+    of = pairs.join(pivots, "a").select(F.col("b").alias("node"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
+    own = pivots.select(F.col("a").alias("node"), F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    got = of.union(own).join(texts, "node").select("pivot", "salt", "node", (F.col("node") != F.col("pivot")).alias("other"), "text")
+    dealt = got.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "other")
+    return dealt.drop("other").mapInArrow(_confirm(limit), "a long, b long")
 
 
 STRAYS, MEMBERS = 256, 2000
 
 
-def _touching(met: DataFrame, found: DataFrame) -> DataFrame:
-    """(main, doc, c) of the members of large buckets that lie in several components: main is the component of the bucket's
-    smallest member, c the member's own."""
-    members = met.where(F.col("kind") == LARGE).select("key", F.col("a").alias("doc")).distinct()
-    known = members.join(found, F.col("doc") == F.col("node"), "left").select("key", "doc", F.coalesce("component", "doc").alias("c"))
-    spans = known.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min_by("c", "doc").alias("main")).where("c1 != c2").select("key", "main")
-    return known.join(spans, "key").select("main", "doc", "c").distinct()
-
-
 def _against(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Over rows (main, block, salt, member, doc, c, text), the strays of each (main, block, salt) first: for each stray and
+        """Over rows (main, block, salt, member, node, c, text), the strays of each (main, block, salt) first: for each stray and
         component, one confirmed pair if there is any. Only the strays' sets, STRAYS about, are held."""
         group, held, inside, told = None, [], False, set()
         hashes = owners = sizes = ids = homes = None
@@ -262,12 +269,12 @@ def _against(limit: int):
                 batch = whole.slice(offset, 512)
                 out_a, out_b = [], []
                 texts = batch.column(6).cast(pa.binary()).to_pylist()
-                for main, block, salt, member, doc, c, text in zip(*(batch.column(k).to_pylist() for k in range(6)), texts):
+                for main, block, salt, member, node, c, text in zip(*(batch.column(k).to_pylist() for k in range(6)), texts):
                     x = shingles(text or b"")
                     if (main, block, salt) != group:
                         group, held, inside, told = (main, block, salt), [], False, set()
                     if not member:
-                        held.append((doc, c, x))
+                        held.append((node, c, x))
                         continue
                     if not inside:
                         inside = True
@@ -280,70 +287,97 @@ def _against(limit: int):
                     n = high - low
                     at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     both = np.bincount(owners[at], minlength=len(ids))
-                    for k in np.flatnonzero((100 * both >= limit * (sizes + len(x) - both)) & (homes != c) & (ids != doc)).tolist():
+                    for k in np.flatnonzero((100 * both >= limit * (sizes + len(x) - both)) & (homes != c) & (ids != node)).tolist():
                         if (k, c) not in told:  # one link joins a stray to a whole component
                             told.add((k, c))
-                            out_a.append(min(doc, int(ids[k])))
-                            out_b.append(max(doc, int(ids[k])))
+                            out_a.append(min(node, int(ids[k])))
+                            out_b.append(max(node, int(ids[k])))
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _stray_links(met: DataFrame, found: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
-    """Links between the members of large buckets that stand apart and all that meet them there.
+def _stray_links(large: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+    """Links between the nodes that stand outside the main component of a large bucket and all that meet them there, over rows
+    (key, node, c, main, n).
 
     Around each main component, the strays are dealt into blocks and the members into salts; every member meets every block,
     and pairs that are no links are never written out.
     """
-    touching = settled(_touching(met, found))
+    touching = settled(large.select("main", "node", "c").distinct())
     apart = F.col("c") != F.col("main")
     sizes = touching.groupBy("main").agg(F.ceil(F.count_if(apart) / STRAYS).cast("int").alias("blocks"), F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
     rows = touching.join(sizes, "main").where("blocks > 0")
-    block, salt = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("salts")).cast("int")
+    block, salt = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("salts")).cast("int")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    strays = rows.where(apart).select("main", block.alias("block"), upto("salts").alias("salt"), F.lit(0).alias("member"), "doc", "c")
-    members = rows.select("main", upto("blocks").alias("block"), salt.alias("salt"), F.lit(1).alias("member"), "doc", "c")
-    order = ["main", "block", "salt", "member", "doc"]
-    full = strays.union(members).join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").select(*order, "c", "text")
+    strays = rows.where(apart).select("main", block.alias("block"), upto("salts").alias("salt"), F.lit(0).alias("member"), "node", "c")
+    members = rows.select("main", upto("blocks").alias("block"), salt.alias("salt"), F.lit(1).alias("member"), "node", "c")
+    order = ["main", "block", "salt", "member", "node"]
+    full = strays.union(members).join(texts, "node").select(*order, "c", "text")
     return full.repartition("main", "block", "salt").sortWithinPartitions(*order).mapInArrow(_against(limit), "a long, b long").distinct()
 
 
-FEW_IDS = 1_000_000
+FEW_NODES = 1_000_000
 
 
-def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The rows of docs that are in a pair. Up to FEW_IDS ids (8 MB) are broadcast, so that no text moves; more are joined by
-    shuffling, once, and kept."""
-    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    if ids.count() <= FEW_IDS:
-        return docs.join(F.broadcast(ids), "doc_id", "left_semi")
-    return settled(docs.join(ids, "doc_id", "left_semi"))
+def _texts_of(met: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes that share a bucket, one row each. Up to FEW_NODES of them (24 MB) are broadcast, so that only
+    their texts move; more are joined by shuffling."""
+    nodes = settled(classes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("first.nd_doc").alias("doc_id"), F.col("first.nd_text").alias("nd_text")))
+    few = F.broadcast(nodes) if nodes.count() <= FEW_NODES else nodes
+    own = docs.select("doc_id", F.xxhash64("text").alias("nd_text"), "text")
+    return settled(own.join(few, ["doc_id", "nd_text"]).select("node", "text").dropDuplicates(["node"]))
 
 
-def near_duplicates(docs: DataFrame, limit: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
+def _links(classes: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
+    """(node, component) of the nodes that are linked with others."""
+    met = meetings(classes)
+    tidy(docs.sparkSession)
+    texts = _texts_of(met, classes, docs)
+    found = components(confirm(settled(_first_pairs(met)), texts, limit))
+    open_ = settled(_several(met.select("key", "node"), found))
+    tidy(docs.sparkSession)
+    more = settled(_next_pairs(open_))
+    if more.isEmpty():
+        return found
+    as_links = lambda d: d.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = components(as_links(found).union(confirm(more, texts, limit)))
+    large = settled(_several(open_.where(F.col("n") > SMALL).select("key", "node"), found))
+    if large.isEmpty():
+        return found
+    return components(as_links(found).union(_stray_links(large, texts, limit)))
+
+
+def _judged(docs: DataFrame, limit: int) -> DataFrame:
+    """(nd_doc, nd_text, nd_n, component_id, first: (nd_doc, nd_text) of the component's first text) for each row of docs; the
+    last is null for rows that are linked with nothing because they have no words or no doc_id."""
     signed = settled(sign(docs))
     sets = signed.where((F.col("nd_n") > 0) & F.col("nd_doc").isNotNull())
     fp = ["nd_n", "nd_f1", "nd_f2"]
-    classes = settled(sets.groupBy(*fp).agg(F.min("nd_doc").alias("rep"), F.first("nd_sig").alias("nd_sig")))
-    met = _met(_tables(classes))
-    tidy(docs.sparkSession)
-    done = settled(_pairs(met))
-    docs = _texts_of(done, docs.select("doc_id", "text"))
-    links = settled(confirm(done, docs, limit))
-    found = settled(components(links))
+    classes = sets.groupBy(*fp).agg(F.min(F.struct("nd_doc", "nd_text")).alias("first"), F.first("nd_sig").alias("nd_sig"))
+    classes = settled(classes.withColumn("node", F.monotonically_increasing_id()))
+    found = settled(_links(classes, docs, limit))
     tidy(docs.sparkSession)
-    strays = settled(_stray_links(met, found, docs, limit))
-    if not strays.isEmpty():
-        found = settled(components(links.union(strays)))
-    of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select(*fp, F.coalesce("component", "rep").alias("component_id"))
+    home = classes.select(*fp, "node", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = home.groupBy("component").agg(F.min("first").alias("first"))
+    of_class = home.drop("first", "node").join(least, "component").drop("component")
     out = signed.drop("nd_sig").join(of_class, fp, "left")
-    component = F.when((F.col("nd_n") > 0) & F.col("nd_doc").isNotNull(), F.col("component_id")).otherwise(F.col("nd_doc"))
-    return out.select(F.col("nd_doc").alias("doc_id"), F.col("nd_n").alias("n_shingles"), component.alias("component_id"))
+    first = F.when((F.col("nd_n") > 0) & F.col("nd_doc").isNotNull(), F.col("first"))
+    return out.select("nd_doc", "nd_text", "nd_n", F.coalesce(first["nd_doc"], "nd_doc").alias("component_id"), first.alias("first"))
 
 
-def keep_one(docs: DataFrame, limit: int = 85) -> DataFrame:
-    """docs without the documents that are not the smallest of their component; one row of each kept doc_id."""
-    near = near_duplicates(docs, limit).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("nd_kept")).distinct()
-    return docs.join(near, F.col("doc_id").eqNullSafe(F.col("nd_kept")), "left_semi")
+def near_duplicates(docs: DataFrame, limit: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
+    return _judged(docs.select("doc_id", "text"), limit).select(F.col("nd_doc").alias("doc_id"), F.col("nd_n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, limit: int = 80) -> DataFrame:
+    """docs with one row of each component: that of its smallest doc_id. Rows without words or doc_id all stay."""
+    judged = _judged(docs.select("doc_id", "text"), limit)
+    doc, text, stays, own, row = fresh(docs, "nd_doc", "nd_text", "nd_stays", "nd_own", "nd_row")
+    stay = F.col("first") == F.struct("nd_doc", "nd_text")
+    verdict = judged.where(F.col("first").isNotNull()).groupBy(F.col("nd_doc").alias(doc), F.col("nd_text").alias(text)).agg(F.bool_and(stay).alias(stays))
+    marked = docs.withColumn(own, F.xxhash64("text")).join(verdict, (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(text)), "left").where(F.coalesce(F.col(stays), F.lit(True)))
+    # rows that are alike in doc_id and text are one document; the join has brought them together
+    one = marked.withColumn(row, F.when(F.col(stays).isNull(), F.monotonically_increasing_id()).otherwise(-1)).dropDuplicates(["doc_id", own, row])
+    return one.drop(doc, text, stays, own, row)

@@ -83,7 +83,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import minhash
 
-    d = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), limit=85)
     return d.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

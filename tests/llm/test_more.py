@@ -90,7 +90,7 @@ def test_large_bucket_with_strays(spark):
     import brute
 
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(tuple(r) for r in minhash.near_duplicates(docs).collect()) == sorted(brute.op9(rows))
+    assert sorted(tuple(r) for r in minhash.near_duplicates(docs, 85).collect()) == sorted(brute.op9(rows))
 
 
 def test_long_runs_and_many_occurrences(spark):
