@@ -37,8 +37,7 @@ def pairs(raw: str | None) -> list[dict]:
     text = array_text(raw or "")
     found = _dicts(text)
     if found is None:
-        text = _TRAILING.sub("", text)
-        found = _dicts(text)
+        found = _dicts(_TRAILING.sub("", text))
     if found is None:
         found = []
         for m in _FLAT.finditer(text):

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as T
 from ..settle import pinned
@@ -24,17 +28,45 @@ def field(obj: Column, key: str) -> Column:
 
 
 def parse(lines: DataFrame) -> DataFrame:
-    """Adds obj to lines(line_no, value): the object, or null where the line is blank or can't be read."""
+    """Adds obj to lines(line_no, value): the object, or null where the line is blank or can't be read; and v, the text that was
+    read. Only lines that can't be read as they are are repaired."""
     d = pinned(lines, *lines.columns, F.coalesce(T.strip(F.col("value")), F.lit("")).alias("v"))
-    repaired = F.regexp_replace("v", r"""\\(?!["\\/bfnrtu])""", r"\\\\")
-    return pinned(d, *lines.columns, F.coalesce(json_object(F.col("v")), json_object(repaired)).alias("obj"))
+    d = pinned(d, *lines.columns, "v", json_object(F.col("v")).alias("obj"))
+    repaired = F.when(F.col("obj").isNull() & (F.col("v") != ""), F.regexp_replace("v", r"""\\(?!["\\/bfnrtu])""", r"\\\\"))
+    d = pinned(d, *lines.columns, F.coalesce(repaired, "v").alias("v"), "obj", (repaired != F.col("v")).alias("again"))
+    return pinned(d, *lines.columns, "v", F.when(F.coalesce("again", F.lit(False)), json_object(F.col("v"))).otherwise(F.col("obj")).alias("obj"))
+
+
+#: what a value that is no string may look like once it is read as one
+_OTHER = r"^(?:true|false|-?[0-9].*|\[[\s\S]*|\{[\s\S]*)$"
+
+
+@F.pandas_udf(StructType([StructField("instruction", StringType()), StructField("response", StringType())]))
+def _as_text(lines: pd.Series) -> pd.DataFrame:
+    """Both fields as str() gives them: True, 1.0, ['a']; a null is empty."""
+    out = []
+    for line in lines:
+        try:
+            obj = json.loads(line) if line else {}
+        except ValueError:
+            obj = {}
+        out.append([x if isinstance(x, str) else "" if x is None else str(x) for x in (obj.get("instruction"), obj.get("response"))])
+    return pd.DataFrame(out, columns=["instruction", "response"])
+
+
+def fields(lines: DataFrame) -> DataFrame:
+    """(line_no, instruction, response) of the readable lines as texts. Only lines with a value that may be none go to Python."""
+    d = parse(lines).where(F.col("obj").isNotNull())
+    keys = ("instruction", "response")
+    d = pinned(d, "line_no", "v", *(F.coalesce(field(F.col("obj"), k), F.lit("")).alias(k) for k in keys))
+    odd = F.col("instruction").rlike(_OTHER) | F.col("response").rlike(_OTHER)
+    d = d.withColumn("odd", odd).withColumn("texts", _as_text(F.when(F.col("odd"), F.col("v"))))
+    return pinned(d, "line_no", *(F.when(F.col("odd"), F.col(f"texts.{k}")).otherwise(F.col(k)).alias(k) for k in keys))
 
 
 def checked(lines: DataFrame, min_words: int = 20) -> DataFrame:
     """(line_no, instruction, response, reason) of the readable lines; reason is null for a valid pair."""
-    d = parse(lines).where(F.col("obj").isNotNull())
-    for step in (lambda k: F.coalesce(field(F.col("obj"), k), F.lit("")), lambda k: T.clean_string(F.col(k))):
-        d = pinned(d, "line_no", *(step(k).alias(k) for k in ("instruction", "response")))
+    d = pinned(fields(lines), "line_no", *(T.clean_string(F.col(k)).alias(k) for k in ("instruction", "response")))
     return pinned(d, "line_no", "instruction", "response", T.pair_fault(F.col("instruction"), F.col("response"), min_words).alias("reason"))
 
 

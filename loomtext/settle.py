@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in spark.checkpoint.dir; only where that is unset, as in tests, in a temporary folder."""
+    """df, computed once and kept in spark.checkpoint.dir. Only a local session, as in tests, takes a temporary folder where that is
+    unset; on a cluster executors would not share it."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomtext-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="loomtext-"))
     return df.checkpoint(eager=True)
 
 

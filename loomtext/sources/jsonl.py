@@ -2,19 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as T
 from ..operators import validate
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over (path, begin, value): adds the row's number in its piece. A task reads its pieces one after another, each in order."""
+    last, n = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path, begin = batch.column(0), batch.column(1)
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = pc.or_(pc.not_equal(path[1:], path[:-1]), pc.not_equal(begin[1:], begin[:-1])).to_numpy(zero_copy_only=False)
+        at = np.arange(batch.num_rows)
+        row = at - np.maximum.accumulate(np.where(new, at, 0))
+        if last == (path[0].as_py(), begin[0].as_py()):
+            row[: int(np.append(np.flatnonzero(new[1:]) + 1, batch.num_rows)[0])] += n
+        last, n = (path[-1].as_py(), begin[-1].as_py()), int(row[-1]) + 1
+        yield pa.RecordBatch.from_arrays([path, pc.add(begin, pa.array(row)), batch.column(2)], ["path", "at", "value"])
+
+
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """lines(line_no, value). Only a newline ends a line. line_no rises in the order of files and lines."""
-    d = spark.read.text(list(paths), lineSep="\n").select(F.regexp_replace("value", "\r$", "").alias("value"))
-    return d.select(F.monotonically_increasing_id().alias("line_no"), "value")
+    """lines(line_no, value). Only a newline ends a line. line_no rises with the files' paths and, in each, with its lines: Spark
+    deals files by size, so it is made of the file's rank, the offset of the piece that a task has read, and the line in it,
+    which is never more than the bytes before it."""
+    path, begin = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin")
+    deep = {"recursiveFileLookup": "true"}
+    d = spark.read.options(**deep).text(list(paths), lineSep="\n").select(path, begin, "value").mapInArrow(_counted, "path string, at long, value string")
+    files = spark.read.format("binaryFile").options(**deep).load(list(paths)).select(path)  # names only, contents aren't read
+    files = files.select("path", (F.row_number().over(Window.orderBy("path")) - 1).cast("bigint").alias("file"))
+    numbered = d.join(files, "path")
+    return numbered.select((F.shiftleft("file", OFFSET_BITS) + F.col("at")).alias("line_no"), F.regexp_replace("value", "\r$", "").alias("value"))
+
+
+#: a file may have so many bytes, and there may be 2 ** (63 - this) files
+OFFSET_BITS = 42
 
 
 def strict_pairs(lines: DataFrame) -> DataFrame:
@@ -67,7 +99,15 @@ def write_completed(done: DataFrame, path: str) -> None:
     done.select("book_id", "chunk_index").write.mode("append").parquet(path)
 
 
-def clear_completed(spark: SparkSession, path: str) -> None:
+def parts(spark: SparkSession, path: str) -> list[str]:
+    """The paths of the sub-folders of path, in order; none if it isn't there."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().toString() for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
+
+
+def clear(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

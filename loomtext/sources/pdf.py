@@ -11,9 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import EngineConfig
 
 
+def _all(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path)
+
+
 def files(spark: SparkSession, path: str, cfg: EngineConfig = EngineConfig()) -> DataFrame:
     """(path, length, content) of the files that are large enough."""
-    return spark.read.format("binaryFile").load(path).where(F.col("length") >= cfg.min_file_bytes).select("path", "length", "content")
+    return _all(spark, path).where(F.col("length") >= cfg.min_file_bytes).select("path", "length", "content")
+
+
+def too_small(spark: SparkSession, path: str, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+    """(path, length) of the files that are not."""
+    return _all(spark, path).where(F.col("length") < cfg.min_file_bytes).select("path", "length")
 
 
 def pages(files: DataFrame) -> DataFrame:

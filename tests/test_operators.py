@@ -156,3 +156,7 @@ def test_streaming_append(spark, tmp_path):
     q = append_pairs(spark, str(src), str(tmp_path / "out"), str(tmp_path / "cp"), once=True)
     q.awaitTermination()
     assert sorted(r.instruction for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["i1", "i2"]
+    # another stream into the same table: its first batch replaces nothing and repeats nothing
+    (src / "c.jsonl").write_text(json.dumps({"instruction": "i3", "response": w(20, "c")}) + "\n")
+    append_pairs(spark, str(src), str(tmp_path / "out"), str(tmp_path / "other"), once=True).awaitTermination()
+    assert sorted(r.instruction for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["i1", "i2", "i3"]
