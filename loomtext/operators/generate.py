@@ -1,12 +1,15 @@
 """Chunks to instruction-response pairs: batches, prompts, a pluggable generator, and what is kept of its answers.
 
 The default generator is an offline stub whose answers follow from the chunk alone. A live one is called with a pause
-between calls, so ``generate`` runs it in one partition; its answers must be written before they are used twice.
+between calls, so it runs in one partition; its answers are settled before they are used twice.
+
+Generation goes in rounds, one call a chunk each: a round asks for what a chunk still lacks and lists what it already has.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.error
 import urllib.request
@@ -20,6 +23,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..config import EngineConfig
 from ..functions import jsonrepair, text as T
+from ..settle import settle
 from .dedup import first_kept
 
 TEMPLATE = """Write {num_pairs} instruction and response pairs from the passage below, as a JSON array of objects with the keys
@@ -31,6 +35,9 @@ Passage:
 {chunk_text}
 """
 AVOID = "\n\nDon't repeat these instructions:\n"
+AVOID_EARLIER = "\n\nAn earlier pass has these instructions, don't repeat or rephrase them:\n"
+SYSTEM = "You write training data and answer with JSON only."
+_FIELD = re.compile(r"(\{\{|\}\}|\{(?:num_pairs|source_section|section_type|chunk_text)\})")
 
 
 def batch_plan(chunks: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
@@ -57,20 +64,14 @@ def avoid_list(keys: Column, most: int = 12, width: int = 80) -> Column:
     return F.transform(F.slice(F.array_sort(F.array_distinct(keys)), 1, most), lambda k: F.left(k, F.lit(width)))
 
 
-def render_prompt(num_pairs: Column, avoid: Column | None = None, template: str = TEMPLATE) -> Column:
-    """The prompt of a chunk's row. The template is cut at its fields, so nothing in a chunk's text is taken for a field."""
-    values = {"num_pairs": num_pairs.cast("string"), "source_section": F.col("source_section"), "section_type": F.col("section_type"), "chunk_text": F.col("text")}
-    parts, rest = [], template
-    while rest:
-        at = min(((rest.find("{" + k + "}"), k) for k in values if "{" + k + "}" in rest), default=None)
-        if at is None:
-            parts.append(F.lit(rest))
-            break
-        parts += [F.lit(rest[: at[0]]), F.coalesce(values[at[1]], F.lit(""))]
-        rest = rest[at[0] + len(at[1]) + 2 :]
-    prompt = F.concat(*parts)
+def render_prompt(num_pairs: Column, avoid: Column | None = None, template: str = TEMPLATE, title: str = AVOID) -> Column:
+    """The prompt of a chunk's row. The template is cut at its fields, so nothing in a chunk's text is taken for a field; doubled
+    braces stand for single ones."""
+    values = {"{num_pairs}": num_pairs.cast("string"), "{source_section}": F.col("source_section"), "{section_type}": F.col("section_type"), "{chunk_text}": F.col("text")}
+    parts = [F.coalesce(values[x], F.lit("")) if x in values else F.lit({"{{": "{", "}}": "}"}.get(x, x)) for x in _FIELD.split(template) if x]
+    prompt = F.concat(*parts) if parts else F.lit("")
     if avoid is not None:
-        more = F.concat(F.lit(AVOID), F.array_join(F.transform(avoid, lambda k: F.concat(F.lit("- "), k)), "\n"))
+        more = F.concat(F.lit(title), F.array_join(F.transform(avoid, lambda k: F.concat(F.lit("- "), k)), "\n"))
         prompt = F.when(F.size(avoid) > 0, F.concat(prompt, more)).otherwise(prompt)
     return prompt
 
@@ -82,19 +83,21 @@ class Generator(Protocol):
 
 @dataclass
 class StubGenerator:
-    """Deterministic and offline: pair p of batch b asks about a slice of the chunk's words and answers with it."""
+    """Deterministic and offline: pair p of batch b asks about a slice of the chunk's words and answers with it. Batches before
+    had ``per_batch`` slices each, if that is given."""
 
     span: int = 24
+    per_batch: int | None = None
 
     def __call__(self, prompt: str, chunk: dict, num_pairs: int, batch_idx: int) -> str:
         words = chunk["text"].split()
         out = []
         for p in range(num_pairs):
-            at = (batch_idx * num_pairs + p) * self.span
+            part = batch_idx * (self.per_batch or num_pairs) + p
+            at = part * self.span
             if at >= len(words):
                 break
-            piece = " ".join(words[at : at + self.span])
-            out.append({"instruction": f"What does part {batch_idx * num_pairs + p + 1} of {chunk['source_section']} say?", "response": piece})
+            out.append({"instruction": f"What does part {part + 1} of {chunk['source_section']} say?", "response": " ".join(words[at : at + self.span])})
         return json.dumps(out, ensure_ascii=False)
 
 
@@ -141,13 +144,13 @@ class Paced:
         return None
 
 
-def chat_sender(cfg: EngineConfig, url: str | None = None) -> Callable[[str], str]:
+def chat_sender(cfg: EngineConfig, url: str | None = None, system: str = SYSTEM) -> Callable[[str], str]:
     """Sends a prompt to an OpenAI-compatible chat endpoint."""
     url = url or {"groq": "https://api.groq.com/openai/v1/chat/completions"}.get(cfg.provider, "https://api.openai.com/v1/chat/completions")
     timeout = 120 if cfg.provider == "groq" else 60
 
     def send(prompt: str) -> str:
-        messages = [{"role": "system", "content": "You write training data and answer with JSON only."}, {"role": "user", "content": prompt}]
+        messages = [{"role": "system", "content": system}, {"role": "user", "content": prompt}]
         body = json.dumps({"model": cfg.model, "temperature": cfg.temperature, "max_tokens": cfg.max_tokens, "messages": messages}).encode()
         request = urllib.request.Request(url, body, {"Authorization": f"Bearer {cfg.api_key}", "Content-Type": "application/json"})
         try:
@@ -161,11 +164,11 @@ def chat_sender(cfg: EngineConfig, url: str | None = None) -> Callable[[str], st
     return send
 
 
-def backend(cfg: EngineConfig) -> Generator:
+def backend(cfg: EngineConfig, system: str = SYSTEM) -> Generator:
     if cfg.provider == "stub":
-        return StubGenerator()
+        return StubGenerator(per_batch=cfg.pairs_per_batch)
     cfg.require_key()
-    return Paced(chat_sender(cfg), cfg.request_delay, cfg.max_retries, cfg.retry_delay)
+    return Paced(chat_sender(cfg, system=system), cfg.request_delay, cfg.max_retries, cfg.retry_delay)
 
 
 def healthy(generator: Generator) -> bool:
@@ -174,35 +177,78 @@ def healthy(generator: Generator) -> bool:
     return bool(jsonrepair.pairs(generator("Write 2 pairs as a JSON array.", chunk, 2, 0)))
 
 
-def raw_answers(chunks: DataFrame, cfg: EngineConfig = EngineConfig(), generator: Generator | None = None, avoid: DataFrame | None = None) -> DataFrame:
-    """(book_id, chunk_index, batch_idx, raw) of all chunks: calls go on until a chunk has its pairs or its calls are used up;
-    raw is null for a call that failed. avoid: one row with the array ``avoid``."""
-    generator = generator or backend(cfg)
-    prompt_rows = chunks if avoid is None else chunks.join(F.broadcast(avoid))
-    num = F.lit(cfg.pairs_per_batch)
-    rows = prompt_rows.withColumn("prompt", render_prompt(num, F.col("avoid") if avoid is not None else None))
-    rows = rows.select("book_id", "chunk_index", "source_section", "section_type", "text", "prompt")
-    if cfg.provider != "stub":
-        rows = rows.coalesce(1)  # the provider's limit is one for all
-    calls = -(-cfg.pairs_per_chunk // cfg.pairs_per_batch)
+def raw_answers(asked: DataFrame, batch_idx: int, generator: Generator, live: bool = False) -> DataFrame:
+    """(book_id, chunk_index, batch_idx, raw): one call for each row of asked(book_id, chunk_index, source_section, section_type,
+    text, num_pairs, prompt); raw is null for a call that failed. The limit of a live provider is one for all rows, so they go
+    through one task; its first call waits too, as the round before may just have ended."""
+    rows = asked.select("book_id", "chunk_index", "source_section", "section_type", "text", "num_pairs", "prompt")
+    if live:
+        rows = rows.coalesce(1).sortWithinPartitions("book_id", "chunk_index")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if live and batch_idx and isinstance(generator, Paced):
+            generator.last = generator.clock()
         for part in parts:
-            out = []
-            for chunk in part.to_dict("records"):
-                got = 0
-                for b in range(calls):
-                    want = min(cfg.pairs_per_batch, cfg.pairs_per_chunk - got)
-                    if want <= 0:
-                        break
-                    raw = generator(chunk["prompt"], chunk, want, b)
-                    got += len(jsonrepair.pairs(raw))
-                    out.append((chunk["book_id"], chunk["chunk_index"], b, raw))
+            out = [(c["book_id"], c["chunk_index"], batch_idx, generator(c["prompt"], c, int(c["num_pairs"]), batch_idx)) for c in part.to_dict("records")]
             yield pd.DataFrame(out, columns=["book_id", "chunk_index", "batch_idx", "raw"])
 
     return rows.mapInPandas(run, "book_id string, chunk_index int, batch_idx int, raw string")
 
 
+CHUNK = ["book_id", "chunk_index"]
+PLACE = ["book_id", "chunk_index", "batch_idx", "pos"]
+
+
+@dataclass
+class Produced:
+    pairs: DataFrame
+    finished: DataFrame  # (book_id, chunk_index) of the chunks none of whose calls failed
+    calls: int
+    failed: int
+
+
+def produce(
+    chunks: DataFrame, cfg: EngineConfig = EngineConfig(), generator: Generator | None = None, template: str = TEMPLATE,
+    seen: tuple[DataFrame, DataFrame] | None = None, avoid: list[str] | None = None,
+) -> Produced:
+    """Usable pairs of all chunks. Calls go on, a round for all chunks each, until a chunk has its pairs or its calls are used up;
+    a pair counts if it is usable and its instruction is new to the chunk and, with ``seen`` (keys of instructions, of responses),
+    if both its keys are new to these and to the pairs before it. Prompts list the chunk's instructions so far, or ``avoid``."""
+    generator = generator or backend(cfg)
+    live = cfg.provider != "stub"
+    got, raws, n_calls, n_failed = None, [], 0, 0
+    given = None if avoid is None else F.array(*map(F.lit, avoid)).cast("array<string>")
+    for b in range(-(-cfg.pairs_per_chunk // cfg.pairs_per_batch)):
+        if got is None:
+            rows = chunks.withColumns({"n": F.lit(0), "listed": F.array().cast("array<string>")})
+        else:
+            have = got.groupBy(*CHUNK).agg(F.count("*").alias("n"), avoid_list(F.collect_list(T.match_key(F.col("instruction")))).alias("listed"))
+            rows = chunks.join(have, CHUNK, "left").withColumns({"n": F.coalesce("n", F.lit(0)), "listed": F.coalesce("listed", F.array().cast("array<string>"))})
+        rows = rows.withColumn("num_pairs", F.least(F.lit(cfg.pairs_per_batch), F.lit(cfg.pairs_per_chunk) - F.col("n"))).where("num_pairs > 0")
+        prompt = render_prompt(F.col("num_pairs"), F.col("listed") if given is None else given, template, AVOID if given is None else AVOID_EARLIER)
+        raw = settle(raw_answers(rows.withColumn("prompt", prompt), b, generator, live))
+        calls, failed = raw.agg(F.count("*"), F.count_if(F.col("raw").isNull())).first()
+        n_calls, n_failed = n_calls + calls, n_failed + failed
+        raws.append(raw.select(*CHUNK, F.col("raw").isNull().alias("failed")))
+        new = pairs(raw, cfg.min_response_words)
+        if got is not None:
+            key = T.match_key(F.col("instruction"))
+            new = new.withColumn("key", key).join(got.select(*CHUNK, key.alias("key")), [*CHUNK, "key"], "left_anti").drop("key")
+        if seen is not None:
+            earlier = [[s.select("key"), *([got.select(T.match_key(F.col(c)).alias("key"))] if got is not None else [])] for s, c in zip(seen, ("instruction", "response"))]
+            keys = [e[0] if len(e) == 1 else e[0].union(e[1]) for e in earlier]
+            new = unseen(new.withColumn("pair_id", F.struct(*PLACE)), *keys).drop("pair_id")
+        new = new.select(*PLACE, "instruction", "response")
+        got = settle(new if got is None else got.union(new))
+        if not calls:
+            break
+    answered = raws[0]
+    for x in raws[1:]:
+        answered = answered.union(x)
+    done = answered.groupBy(*CHUNK).agg(F.count_if("failed").alias("n")).where("n = 0").select(*CHUNK)
+    return Produced(got, done, n_calls, n_failed)
+
+
 @F.pandas_udf(ArrayType(StructType([StructField("instruction", StringType()), StructField("response", StringType())])))
 def read_pairs(raw: pd.Series) -> pd.Series:
     def text(x: object) -> str | None:
@@ -212,7 +258,7 @@ def read_pairs(raw: pd.Series) -> pd.Series:
 
 
 def pairs(raw: DataFrame, min_words: int = 20) -> DataFrame:
-    """(pair_id, book_id, chunk_index, batch_idx, pos, instruction, response): usable pairs, each instruction once a chunk."""
+    """(book_id, chunk_index, batch_idx, pos, instruction, response): usable pairs, each instruction once a chunk."""
     d = raw.select("book_id", "chunk_index", "batch_idx", F.posexplode(read_pairs("raw")).alias("pos", "pair"))
     d = d.select("book_id", "chunk_index", "batch_idx", "pos", T.strip(F.col("pair.instruction")).alias("instruction"), T.strip(F.col("pair.response")).alias("response"))
     d = d.where(T.generated_ok(F.col("instruction"), F.col("response"), min_words))
@@ -220,11 +266,6 @@ def pairs(raw: DataFrame, min_words: int = 20) -> DataFrame:
     return d.withColumn("rn", first).where("rn = 1").drop("rn")
 
 
-def finished(raw: DataFrame) -> DataFrame:
-    """(book_id, chunk_index) of the chunks none of whose calls failed."""
-    return raw.groupBy("book_id", "chunk_index").agg(F.count_if(F.col("raw").isNull()).alias("failed")).where("failed = 0").select("book_id", "chunk_index")
-
-
 def unseen(pairs: DataFrame, seen_instructions: DataFrame, seen_responses: DataFrame, order: str = "pair_id") -> DataFrame:
     """Pairs whose keys are new: neither among the seen keys(key) nor those of an earlier pair that is kept."""
     d = pairs.withColumns({"ik": T.match_key(F.col("instruction")), "rk": T.match_key(F.col("response"))})
