@@ -19,8 +19,9 @@ from ..settle import settle
 
 
 def _first_by(pairs: DataFrame, column: str) -> DataFrame:
-    w = Window.partitionBy("fp").orderBy("pair_id")
-    return pairs.withColumn("fp", T.fingerprint(F.coalesce(F.col(column), F.lit("")))).withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("fp", "rn")
+    """The first pair of each fingerprint. Only fingerprints and ids are shuffled, and pre-aggregated before."""
+    first = pairs.groupBy(T.fingerprint(F.coalesce(F.col(column), F.lit(""))).alias("fp")).agg(F.min("pair_id").alias("pair_id"))
+    return pairs.join(first.select("pair_id"), "pair_id", "left_semi")
 
 
 def by_instruction(pairs: DataFrame) -> DataFrame:
@@ -41,28 +42,40 @@ def term_counts(pairs: DataFrame) -> DataFrame:
     return pairs.select("pair_id", F.explode(T.tokens(F.col("instruction"))).alias("term")).groupBy("pair_id", "term").agg(F.count("*").alias("n"))
 
 
-def idf(pairs: DataFrame) -> DataFrame:
-    """(term, df, idf), idf = ln(N / (df + 1)) + 1 with N all pairs, those without terms too."""
+def _idf(counts: DataFrame, pairs: DataFrame) -> DataFrame:
     total = pairs.agg(F.greatest(F.count("*"), F.lit(1)).alias("total"))
-    df = term_counts(pairs).groupBy("term").agg(F.count("*").alias("df"))
+    df = counts.groupBy("term").agg(F.count("*").alias("df"))
     return df.join(F.broadcast(total)).select("term", "df", (F.log(F.col("total") / (F.col("df") + 1)) + 1).alias("idf"))
 
 
+def idf(pairs: DataFrame) -> DataFrame:
+    """(term, df, idf), idf = ln(N / (df + 1)) + 1 with N all pairs, those without terms too."""
+    return _idf(term_counts(pairs), pairs)
+
+
 def tfidf(pairs: DataFrame) -> DataFrame:
     """(pair_id, term, df, w): tf * idf."""
-    counts = term_counts(pairs)
+    counts = settle(term_counts(pairs))
     sizes = counts.groupBy("pair_id").agg(F.sum("n").alias("total"))
-    return counts.join(sizes, "pair_id").join(idf(pairs), "term").select("pair_id", "term", "df", (F.col("n") / F.col("total") * F.col("idf")).alias("w"))
+    return counts.join(sizes, "pair_id").join(_idf(counts, pairs), "term").select("pair_id", "term", "df", (F.col("n") / F.col("total") * F.col("idf")).alias("w"))
+
+
+def _norms(weights: DataFrame) -> DataFrame:
+    return weights.groupBy("pair_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
 
 def norms(pairs: DataFrame) -> DataFrame:
-    return tfidf(pairs).groupBy("pair_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return _norms(tfidf(pairs))
 
 
-def similar_pairs(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """(a, b, similarity), a < b, of the pairs of instructions at or above the threshold."""
-    raw = tfidf(pairs)
-    unit = settle(raw.join(norms(pairs), "pair_id").where("norm > 0").select("pair_id", "term", "df", (F.col("w") / F.col("norm")).alias("w")))
+def unit_vectors(pairs: DataFrame) -> DataFrame:
+    """(pair_id, term, df, w), w of the normalised vector."""
+    raw = settle(tfidf(pairs))
+    return settle(raw.join(_norms(raw), "pair_id").where("norm > 0").select("pair_id", "term", "df", (F.col("w") / F.col("norm")).alias("w")))
+
+
+def _similar(unit: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, similarity), a < b, of vectors(pair_id, term, df, w)."""
     rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("pair_id").orderBy(F.col("df").desc(), F.col("term").desc()))
     # what is left from this term on, itself included, could still reach the threshold
     prefix = unit.withColumn("rest", F.sqrt(rest)).where(F.col("rest") >= threshold - 1e-9).select("pair_id", "term")
@@ -74,42 +87,66 @@ def similar_pairs(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
     return dots.where(F.col("similarity") >= threshold)
 
 
-def dropped_by(links: DataFrame, most: int = 200) -> DataFrame:
-    """(id) of the rows that go: those with a kept neighbour before them, in links(a, b), a < b."""
+def similar_pairs(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """(a, b, similarity), a < b, of the pairs of instructions at or above the threshold."""
+    return _similar(unit_vectors(pairs), threshold)
+
+
+def dropped_by(links: DataFrame) -> DataFrame:
+    """(id) of the rows that go: those with a kept neighbour before them, in links(a, b), a < b. Each round decides the rows that
+    have no undecided neighbour before them, so there are as many rounds as the longest chain has rows, at most."""
     links = settle(links.select("a", "b"))
-    gone = None
-    for _ in range(most):
+    gone = []
+    while True:
         # rows with no undecided neighbour before them are kept; what they are linked to goes
         later = links.select(F.col("b").alias("a")).distinct()
         kept = links.join(later, "a", "left_anti").select("a").distinct()
         out = settle(links.join(kept, "a", "left_semi").select(F.col("b").alias("id")).distinct())
-        gone = out if gone is None else gone.union(out)
+        gone = _joined([*gone, out])
         ids_a, ids_b = out.select(F.col("id").alias("a")), out.select(F.col("id").alias("b"))
         links = settle(links.join(ids_a, "a", "left_anti").join(ids_b, "b", "left_anti"))
         if links.isEmpty():
-            return gone
-    raise RuntimeError("undecided rows are left")
+            return _union(gone)
 
 
-def first_kept(keys: DataFrame, most: int = 200) -> DataFrame:
-    """(id) of the rows of keys(id, kind, key) that stay when each goes that shares a key with a kept row before it."""
+def first_kept(keys: DataFrame) -> DataFrame:
+    """(id) of the rows of keys(id, kind, key) that stay when each goes that shares a key with a kept row before it. Rounds go on
+    until all are decided."""
     left = settle(keys)
-    kept = None
-    for _ in range(most):
+    kept = []
+    while True:
         first = left.groupBy("kind", "key").agg(F.min("id").alias("first"))
         marked = left.join(first, ["kind", "key"])
         now = settle(marked.groupBy("id").agg(F.bool_and(F.col("first") == F.col("id")).alias("all")).where("all").select("id"))
-        kept = now if kept is None else kept.union(now)
+        kept = _joined([*kept, now])
         taken = left.join(now, "id", "left_semi").select("kind", "key").distinct()
         out = left.join(taken, ["kind", "key"], "left_semi").select("id").distinct()
         left = settle(left.join(out, "id", "left_anti"))
         if left.isEmpty():
-            return kept
-    raise RuntimeError("undecided rows are left")
+            return _union(kept)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+def _joined(parts: list[DataFrame]) -> list[DataFrame]:
+    """The parts, many of them made one, so that plans stay short however many rounds there are."""
+    return [settle(_union(parts))] if len(parts) >= 32 else parts
 
 
 def near_dedup(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
-    gone = dropped_by(similar_pairs(pairs, threshold))
+    """Of equal vectors only the first can stay, and what is similar to one is to all, so only these firsts are compared."""
+    unit = unit_vectors(pairs)
+    form = F.array_sort(F.collect_list(F.struct("term", "w")))
+    same = unit.groupBy("pair_id").agg(F.md5(F.to_json(form)).alias("form"))
+    first = settle(same.groupBy("form").agg(F.min("pair_id").alias("first")))
+    copies = same.join(first, "form").where("pair_id != first").select(F.col("pair_id").alias("id"))
+    firsts = settle(unit.join(first.select(F.col("first").alias("pair_id")), "pair_id", "left_semi"))
+    gone = copies.union(dropped_by(_similar(firsts, threshold)))
     return pairs.join(gone.withColumnRenamed("id", "pair_id"), "pair_id", "left_anti")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import EngineConfig
 from ..functions import text as T
+from ..settle import pinned
 
 
 def page_lines(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
@@ -32,12 +33,20 @@ def recurring_lines(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> Dat
     return counts.join(sizes, "book_id").where(F.col("n") >= enough).select("book_id", "line", "n")
 
 
+def _kept(pages: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """(book_id, page_no, kept: array of (line_no, line)): the pages' lines without those that recur, wherever they stand. A line
+    recurs on a share of the pages and a page has few places for one, so a book has few (20 at the default share): they meet
+    the pages as one array a book."""
+    t = T.rejoin_hyphens(F.col("text")) if cfg.fix_hyphenation else F.col("text")
+    gone = recurring_lines(pages, cfg).groupBy("book_id").agg(F.collect_set("line").alias("gone"))
+    d = pinned(pages.join(gone, "book_id", "left"), "book_id", "page_no", "gone", T.lines(t).alias("ls"))
+    rows = F.transform("ls", lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+    return d.select("book_id", "page_no", F.filter(rows, lambda x: ~F.coalesce(F.array_contains("gone", T.strip(x["line"])), F.lit(False))).alias("kept"))
+
+
 def without_recurring(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
-    """The lines of all pages, without those that recur, wherever they stand. Spark chooses the join: the recurring
-    lines grow with the number of books."""
-    rows = page_lines(pages, cfg).withColumn("key", T.strip(F.col("line")))
-    gone = recurring_lines(pages, cfg).select("book_id", F.col("line").alias("key"))
-    return rows.join(gone, ["book_id", "key"], "left_anti").drop("key")
+    """(book_id, page_no, line_no, line) of all pages, without the lines that recur, wherever they stand."""
+    return _kept(pages, cfg).select("book_id", "page_no", F.inline("kept"))
 
 
 def clean_lines(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
@@ -51,8 +60,8 @@ def _joined(rows: DataFrame, keys: list[str], order: str, value: str, by: str, n
 
 def clean_pages(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
     """(book_id, page_no, text); a page without any line left has an empty text."""
-    texts = _joined(clean_lines(pages, cfg), ["book_id", "page_no"], "line_no", "line", "\n", "clean")
-    return pages.select("book_id", "page_no").join(texts, ["book_id", "page_no"], "left").select("book_id", "page_no", F.coalesce("clean", F.lit("")).alias("text"))
+    good = F.filter(F.transform("kept", lambda x: x["line"]), lambda x: ~T.is_noise(x))
+    return _kept(pages, cfg).select("book_id", "page_no", F.array_join(good, "\n").alias("text"))
 
 
 def assemble(clean: DataFrame) -> DataFrame:

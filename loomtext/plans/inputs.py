@@ -7,6 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
+HEADINGS = ("Chapter", "Act", "Scene", "Prologue", "Epilogue", "Part", "Book", "Volume", "Section")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,12 +21,12 @@ def plain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """plain_pages with a running head, a page number, some garbage, and every fifth page a chapter's heading."""
+    """plain_pages with a running head, a page number, some garbage, and every fifth page a heading, of all kinds in turn."""
     p = plain_pages(spark, sf_dir)
     k = F.col("page_no")
     text = F.concat(
         F.lit("The Book of "), F.col("book_id"), F.lit("\n"),
-        F.when(k % 5 == 0, F.concat(F.lit("Chapter "), (F.floor(k / 5) + 1).cast("string"), F.lit("\n"))).otherwise(""),
+        F.when(k % 5 == 0, F.concat(F.get(F.array(*map(F.lit, HEADINGS)), (F.floor(k / 5) % len(HEADINGS)).cast("int")), F.lit(" "), (F.floor(k / 5) + 1).cast("string"), F.lit("\n"))).otherwise(""),
         F.when(k % 7 == 0, F.lit("*****\n")).otherwise(""),
         F.coalesce("text", F.lit("")), F.lit("\nPage "), (k + 1).cast("string"),
     )
@@ -57,4 +60,4 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("conv_id").orderBy("turn")
     d = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("next_text"))
     d = d.where((F.col("role") == "user") & (F.col("next_role") == "assistant"))
-    return d.select((F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), F.col("text").alias("instruction"), F.col("next_text").alias("response"))
+    return d.select((F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), F.col("text").alias("instruction"), F.col("next_text").alias("response"), "turn")

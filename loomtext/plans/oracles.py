@@ -4,7 +4,7 @@ from __future__ import annotations
 
 _PLAIN = """plain AS (SELECT source AS book_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS page_no, text FROM documents)"""
 _PAGES = _PLAIN + """, pages AS (SELECT book_id, page_no, 'The Book of ' || book_id || chr(10)
-  || CASE WHEN page_no % 5 = 0 THEN 'Chapter ' || CAST(page_no // 5 + 1 AS VARCHAR) || chr(10) ELSE '' END
+  || CASE WHEN page_no % 5 = 0 THEN ['Chapter', 'Act', 'Scene', 'Prologue', 'Epilogue', 'Part', 'Book', 'Volume', 'Section'][(page_no // 5) % 9 + 1] || ' ' || CAST(page_no // 5 + 1 AS VARCHAR) || chr(10) ELSE '' END
   || CASE WHEN page_no % 7 = 0 THEN '*****' || chr(10) ELSE '' END || coalesce(text, '') || chr(10) || 'Page ' || CAST(page_no + 1 AS VARCHAR) AS text FROM plain)"""
 _LINES = _PAGES + """, arrays AS (SELECT book_id, page_no, string_split(text, chr(10)) AS ls FROM pages),
 lines AS (SELECT book_id, page_no, unnest(ls) AS line, unnest(range(len(ls))) AS line_no FROM arrays)"""
@@ -91,17 +91,52 @@ checked AS (SELECT *, CASE WHEN instruction = '' THEN 'empty instruction' WHEN r
   WHEN lower(instruction) = lower(response) THEN 'instruction equals response' END AS reason FROM texts)"""
 )
 _CONV = """conv AS (SELECT conv_id * 1000 + turn AS pair_id, text AS instruction, next_text AS response FROM (SELECT *, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text FROM conversations) WHERE role = 'user' AND next_role = 'assistant')"""
-_PAGE_CHUNKS = _PLAIN + ", pc AS (SELECT book_id, page_no AS chunk_index, 'Page ' || CAST(page_no AS VARCHAR) AS source_section, 'prose' AS section_type, text, CAST(" + _WORDS.format("text") + " AS BIGINT) AS word_count FROM plain)"
+_SENTENCES = r"""list_filter(list_transform(string_split(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)\.', '\1' || chr(1), 'g'),
+  '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)!', '\1' || chr(2), 'g'), '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)\?', '\1' || chr(3), 'g'), '([.!?])\s+([A-Z"])', '\1' || chr(10) || '\2', 'g'), chr(1), '.'), chr(2), '!'), chr(3), '?'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"""
+# sections of paragraphs, cut into units, walked with the size of the open chunk; an end row closes each section
+_CHUNKS = (
+    _PLAIN_BOOKS
+    + _PARAGRAPHS
+    + ", secs AS ("
+    + _BY_PARAGRAPH
+    + r"""), sp AS (SELECT book_id, section_index, unnest(a) AS p, unnest(range(len(a))) AS i FROM (SELECT *, list_filter(list_transform(string_split_regex(body, '\n{2,}'), lambda x: trim(x, ' ' || chr(10))), lambda x: x <> '') AS a FROM secs)),
+sn AS (SELECT *, """
+    + _WORDS.format("p")
+    + " AS n FROM sp), su AS (SELECT book_id, section_index, i, unnest(u) AS part, unnest(range(len(u))) AS j FROM (SELECT *, CASE WHEN n > 900 THEN "
+    + _SENTENCES.format("p")
+    + " ELSE [p] END AS u FROM sn)), items AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY section_index, ender, i, j) AS r FROM (SELECT book_id, section_index, i, j, part, "
+    + _WORDS.format("part")
+    + r""" AS n, 0 AS ender FROM su UNION ALL SELECT book_id, section_index, 0, 0, NULL, 0, 1 FROM secs)),
+pack AS (SELECT DISTINCT book_id, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS size, false AS made, CAST(0 AS BIGINT) AS c, false AS tailed, CAST(NULL AS BIGINT) AS own, CAST(NULL AS BIGINT) AS dropped FROM items
+  UNION ALL SELECT k.book_id, k.r + 1,
+    CASE WHEN u.ender = 1 THEN CASE WHEN k.made OR k.size >= 50 THEN 50 ELSE 0 END WHEN k.size + u.n > 900 AND k.size >= 400 THEN u.n ELSE k.size + u.n END,
+    u.ender = 0 AND (k.made OR (k.size + u.n > 900 AND k.size >= 400)),
+    CASE WHEN u.ender = 1 OR (k.size + u.n > 900 AND k.size >= 400) THEN k.c + 1 ELSE k.c END,
+    CASE WHEN u.ender = 1 THEN k.made OR k.size >= 50 WHEN k.size + u.n > 900 AND k.size >= 400 THEN false ELSE k.tailed END,
+    CASE WHEN u.ender = 1 THEN NULL WHEN k.size + u.n > 900 AND k.size >= 400 THEN k.c + 1 ELSE k.c END,
+    CASE WHEN u.ender = 1 AND k.size < 50 THEN k.c END
+  FROM pack k JOIN items u ON u.book_id = k.book_id AND u.r = k.r + 1),
+bodies2 AS (SELECT k.book_id, k.own AS c, bool_or(k.tailed) AS tailed, any_value(u.section_index) AS section_index, string_agg(u.part, chr(10) || chr(10) ORDER BY u.r) AS body FROM pack k JOIN items u USING (book_id, r) WHERE k.own IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM pack d WHERE d.book_id = k.book_id AND d.dropped = k.own) GROUP BY 1, 2),
+ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY c) - 1 AS chunk_index FROM bodies2),
+texts2 AS (SELECT book_id, chunk_index, body AS text FROM ranked WHERE chunk_index = 0
+  UNION ALL SELECT b.book_id, b.chunk_index, CASE WHEN b.tailed THEN '[…] ' || array_to_string(string_split_regex(t.text, '\s+')[-50:], ' ') || chr(10) || chr(10) || b.body ELSE b.body END FROM texts2 t JOIN ranked b ON b.book_id = t.book_id AND b.chunk_index = t.chunk_index + 1),
+ch AS MATERIALIZED (SELECT t.book_id, t.chunk_index, 'Passage ' || CAST(b.section_index + 1 AS VARCHAR) AS source_section, 'prose' AS section_type, t.text, CAST("""
+    + _WORDS.format("t.text")
+    + " AS BIGINT) AS word_count FROM texts2 t JOIN ranked b USING (book_id, chunk_index))"
+)
+_STUB = r""", sw AS (SELECT *, string_split_regex(trim(text, ' ' || chr(10)), '\s+') AS ws FROM ch), sg AS (SELECT sw.*, p, ws[p * 24 + 1 : p * 24 + 24] AS piece FROM sw, (SELECT unnest(range(80)) AS p) WHERE len(ws) > p * 24),
+stub AS (SELECT book_id, chunk_index, p, 'What does part ' || CAST(p + 1 AS VARCHAR) || ' of ' || source_section || ' say?' AS instruction, array_to_string(piece, ' ') AS response FROM sg WHERE len(piece) >= 20)"""
 _KEY = r"lower(trim({}, ' ' || chr(10)))"
 
 
-def _template(num_pairs: str) -> str:
+def _template(num_pairs: str, avoid: str) -> str:
     from ..operators.generate import AVOID, TEMPLATE
 
     quoted = "'" + TEMPLATE.replace("'", "''") + "'"
     for name, value in (("num_pairs", num_pairs), ("source_section", "source_section"), ("section_type", "section_type"), ("chunk_text", "text")):
         quoted = quoted.replace("{" + name + "}", f"' || {value} || '")
-    return quoted + " || '" + AVOID.replace("'", "''") + "- what is a\n- why is b so'"
+    return quoted + " || CASE WHEN len(" + avoid + ") > 0 THEN '" + AVOID.replace("'", "''") + "' || array_to_string(list_transform(" + avoid + ", lambda x: '- ' || x), chr(10)) ELSE '' END"
 
 
 _WITH = "WITH "
@@ -126,13 +161,14 @@ ORACLES: dict[str, str] = {
     "sentence_split": r"""WITH s0 AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)\.', '\1' || chr(1), 'g'), '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)!', '\1' || chr(2), 'g'), '\b(Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|etc|vs|Fig)\?', '\1' || chr(3), 'g') AS t FROM documents),
 s1 AS (SELECT doc_id, text, list_filter(list_transform(string_split(replace(replace(replace(regexp_replace(t, '([.!?])\s+([A-Z"])', '\1' || chr(10) || '\2', 'g'), chr(1), '.'), chr(2), '!'), chr(3), '?'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS s FROM s0),
 s2 AS (SELECT doc_id, CASE WHEN len(s) = 0 THEN [text] ELSE s END AS s FROM s1) SELECT doc_id, CAST(len(s) AS BIGINT) AS n_sentences, md5(array_to_string(s, chr(10))) AS sentences_md5 FROM s2""".replace("\\\\", "\\"),
-    "batch_plan": _WITH + _PAGE_CHUNKS + " SELECT book_id, chunk_index, b AS batch_idx, least(20, 50 - b * 20) AS num_pairs FROM pc, (SELECT unnest(range(3)) AS b)",
-    "run_estimate": "SELECT count(*) AS n_chunks, count(*) * 2 AS calls, round(count(*) * 2 * CAST(12 AS DOUBLE) / 60, 6) AS minutes FROM documents",
-    "prompts": _WITH + _PAGE_CHUNKS + " SELECT book_id, chunk_index, md5(" + _template("'20'") + ") AS prompt_md5 FROM pc",
-    "stub_pairs": _WITH + _PAGE_CHUNKS + r""", w AS (SELECT *, string_split_regex(trim(text, ' ' || chr(10)), '\s+') AS ws FROM pc), g AS (SELECT w.*, p FROM w, (SELECT unnest(range(4)) AS p)),
-made AS (SELECT book_id, chunk_index, p // 2 AS batch_idx, p % 2 AS pos, 'What does part ' || CAST(p + 1 AS VARCHAR) || ' of ' || source_section || ' say?' AS instruction, array_to_string(ws[p * 24 + 1 : p * 24 + 24], ' ') AS response, ws[p * 24 + 1 : p * 24 + 24] AS part FROM g WHERE len(ws) > p * 24)
-SELECT book_id, chunk_index, batch_idx, pos, instruction, response FROM made WHERE len(part) >= 20""",
-    "resume_pending": _WITH + _PAGE_CHUNKS + " SELECT book_id, chunk_index, word_count FROM pc WHERE chunk_index % 3 <> 0",
+    "chunks": _RWITH + _CHUNKS + " SELECT book_id, chunk_index, source_section, section_type, word_count, md5(text) AS text_md5 FROM ch",
+    "chunk_stats": _RWITH + _CHUNKS + " SELECT book_id, count(*) AS n_chunks, CAST(sum(word_count) AS BIGINT) AS total_words, CAST(sum(word_count) AS BIGINT) // count(*) AS avg_words FROM ch GROUP BY 1",
+    "batch_plan": _RWITH + _CHUNKS + " SELECT book_id, chunk_index, b AS batch_idx, least(20, 50 - b * 20) AS num_pairs FROM ch, (SELECT unnest(range(3)) AS b)",
+    "run_estimate": _RWITH + _CHUNKS + " SELECT count(*) AS n_chunks, count(*) * 2 AS calls, round(count(*) * 2 * CAST(12 AS DOUBLE) / 60, 6) AS minutes FROM ch",
+    "prompts": _RWITH + _CHUNKS + _STUB + ", have AS (SELECT book_id, chunk_index, count(*) AS n, list_transform(list_sort(list(DISTINCT lower(instruction)))[1:12], lambda x: left(x, 80)) AS listed FROM stub WHERE p < 20 GROUP BY 1, 2), pr AS (SELECT ch.*, coalesce(n, 0) AS n, coalesce(listed, []) AS listed FROM ch LEFT JOIN have USING (book_id, chunk_index)) SELECT book_id, chunk_index, md5(" + _template("CAST(40 - n AS VARCHAR)", "listed") + ") AS prompt_md5 FROM pr",
+    "stub_pairs": _RWITH + _CHUNKS + _STUB + " SELECT book_id, chunk_index, p // 40 AS batch_idx, p % 40 AS pos, instruction, response FROM stub",
+    "json_repair": _WITH + _JSON + " SELECT js.line_no, CASE WHEN js.line_no % 11 = 0 OR js.line_no % 13 = 0 OR js.line_no % 23 = 0 THEN NULL ELSE json_extract_string(value, '$.instruction') END AS instruction, CASE WHEN js.line_no % 11 = 0 OR js.line_no % 13 = 0 OR js.line_no % 23 = 0 THEN NULL ELSE json_extract_string(value, '$.response') END AS response FROM js",
+    "resume_pending": _RWITH + _CHUNKS + " SELECT book_id, chunk_index, word_count FROM ch WHERE chunk_index % 3 <> 0",
     "validate_reasons": _WITH + _JSON + " SELECT coalesce(reason, 'valid') AS reason, count(*) AS n FROM checked GROUP BY 1",
     "validated_pairs": _WITH + _JSON + " SELECT line_no AS pair_id, instruction, response FROM checked WHERE reason IS NULL",
     "validation_counts": _WITH + _JSON + " SELECT (SELECT count(*) FROM js) AS total, (SELECT count(*) FROM checked WHERE reason IS NULL) AS valid",
@@ -144,6 +180,14 @@ SELECT book_id, chunk_index, batch_idx, pos, instruction, response FROM made WHE
     "similar_pairs": _WITH + _U3 + _SIM + " SELECT a, b, round(similarity, 6) AS similarity FROM sim",
     "near_dedup": _RWITH + _U3 + _NEAR + " SELECT pair_id FROM near",
     "dedup_summary": _RWITH + _U3 + _NEAR + " SELECT 'input' AS stage, count(*) AS n FROM pairs UNION ALL SELECT 'by_instruction', count(*) FROM u1 UNION ALL SELECT 'by_response', count(*) FROM u2 UNION ALL SELECT 'quality', count(*) FROM good UNION ALL SELECT 'near', count(*) FROM near",
+    # pairs whose keys are no other's stay; the others are decided one after another, keys being numbers
+    "part2_filtered": _RWITH + _PAIRS + ", " + _CONV.replace("SELECT conv_id * 1000 + turn AS pair_id", "SELECT turn, conv_id * 1000 + turn AS pair_id") + """, every AS (SELECT pair_id, instruction, response FROM conv UNION ALL SELECT pair_id + 500, ' ' || instruction || chr(10), response || ' more' FROM conv UNION ALL SELECT pair_id + 700, instruction || ' too', response FROM conv),
+seen AS MATERIALIZED (SELECT """ + _KEY.format("instruction") + " AS ik, " + _KEY.format("response") + " AS rk FROM (SELECT instruction, response FROM pairs UNION ALL SELECT instruction, response FROM conv WHERE turn = 0)), cand AS MATERIALIZED (SELECT pair_id, dense_rank() OVER (ORDER BY " + _KEY.format("instruction") + ") AS i, dense_rank() OVER (ORDER BY " + _KEY.format("response") + ") AS r FROM every WHERE " + _KEY.format("instruction") + " NOT IN (SELECT ik FROM seen) AND " + _KEY.format("response") + """ NOT IN (SELECT rk FROM seen)),
+several AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY pair_id) AS n FROM (SELECT *, count(*) OVER (PARTITION BY i) AS ni, count(*) OVER (PARTITION BY r) AS nr FROM cand) WHERE ni > 1 OR nr > 1),
+fold AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS gi, CAST([] AS BIGINT[]) AS gr, CAST(NULL AS BIGINT) AS kept UNION ALL
+  SELECT f.n + 1, CASE WHEN list_contains(gi, s.i) OR list_contains(gr, s.r) THEN gi ELSE list_append(gi, s.i) END, CASE WHEN list_contains(gi, s.i) OR list_contains(gr, s.r) THEN gr ELSE list_append(gr, s.r) END,
+    CASE WHEN list_contains(gi, s.i) OR list_contains(gr, s.r) THEN NULL ELSE s.pair_id END FROM fold f JOIN several s ON s.n = f.n + 1)
+SELECT pair_id FROM cand WHERE pair_id NOT IN (SELECT pair_id FROM several) UNION ALL SELECT kept FROM fold WHERE kept IS NOT NULL""",
     "chat_export": _WITH + _CONV + """ SELECT pair_id, '{"messages":[{"role":"system","content":"You are a helpful tutor."},{"role":"user","content":' || CAST(to_json(instruction) AS VARCHAR) || '},{"role":"assistant","content":' || CAST(to_json(response) AS VARCHAR) || '}]}' AS value FROM conv""",
     "curate_end_to_end": _RWITH + _JSON + ", v AS (SELECT line_no AS pair_id, instruction, response FROM checked WHERE reason IS NULL), c1 AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY " + _FP.format("instruction") + " ORDER BY pair_id) = 1), c2 AS (SELECT * FROM c1 QUALIFY row_number() OVER (PARTITION BY " + _FP.format("response") + " ORDER BY pair_id) = 1)" + _GOOD.format("c2") + _NEAR + " SELECT pair_id, md5(instruction) AS instruction_md5, md5(response) AS response_md5 FROM near",
 }

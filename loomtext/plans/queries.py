@@ -128,31 +128,35 @@ def chunk_stats(spark: SparkSession, sf: str) -> DataFrame:
     return C.chunk_stats(_chunks(spark, sf))
 
 
-def _page_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks that SQL can make too: a page is one."""
-    d = I.plain_pages(spark, sf)
-    return d.select("book_id", F.col("page_no").cast("int").alias("chunk_index"), F.concat(F.lit("Page "), F.col("page_no").cast("string")).alias("source_section"), F.lit("prose").alias("section_type"), "text", T.count_words(F.col("text")).alias("word_count"))
+#: two calls a chunk, whose slices go through all of its words
+TWO_CALLS = EngineConfig(pairs_per_chunk=80, pairs_per_batch=40)
 
 
 def batch_plan(spark: SparkSession, sf: str) -> DataFrame:
-    d = G.batch_plan(_page_chunks(spark, sf), EngineConfig(pairs_per_chunk=50, pairs_per_batch=20))
+    d = G.batch_plan(_chunks(spark, sf), EngineConfig(pairs_per_chunk=50, pairs_per_batch=20))
     return d.select("book_id", long("chunk_index").alias("chunk_index"), long("batch_idx").alias("batch_idx"), long("num_pairs").alias("num_pairs"))
 
 
 def run_estimate(spark: SparkSession, sf: str) -> DataFrame:
-    d = G.run_estimate(_page_chunks(spark, sf), EngineConfig(pairs_per_batch=20, request_delay=12.0))
+    d = G.run_estimate(_chunks(spark, sf), EngineConfig(pairs_per_batch=20, request_delay=12.0))
     return d.select("n_chunks", "calls", F.round("minutes", ROUND).alias("minutes"))
 
 
+def _made(spark: SparkSession, sf: str, cfg: EngineConfig) -> tuple[DataFrame, DataFrame]:
+    c = settle(_chunks(spark, sf))
+    return c, G.produce(c, cfg, G.StubGenerator(per_batch=cfg.pairs_per_batch)).pairs
+
+
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
-    d = _page_chunks(spark, sf)
-    p = G.render_prompt(F.lit(20), G.avoid_list(F.array(F.lit("why is b so"), F.lit("what is a"))))
-    return d.select("book_id", long("chunk_index").alias("chunk_index"), F.md5(p).alias("prompt_md5"))
+    """The prompts of a second call: what is left to make, and what the first has made to avoid."""
+    c, made = _made(spark, sf, EngineConfig(pairs_per_chunk=20, pairs_per_batch=20))
+    have = made.groupBy("book_id", "chunk_index").agg(F.count("*").alias("n"), G.avoid_list(F.collect_list(T.match_key(F.col("instruction")))).alias("listed"))
+    d = c.join(have, ["book_id", "chunk_index"], "left").withColumns({"n": F.coalesce("n", F.lit(0)), "listed": F.coalesce("listed", F.array().cast("array<string>"))})
+    return d.select("book_id", long("chunk_index").alias("chunk_index"), F.md5(G.render_prompt(40 - F.col("n"), F.col("listed"))).alias("prompt_md5"))
 
 
 def stub_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    cfg = EngineConfig(pairs_per_chunk=4, pairs_per_batch=2)
-    d = G.pairs(G.raw_answers(_page_chunks(spark, sf), cfg, G.StubGenerator()))
+    _, d = _made(spark, sf, TWO_CALLS)
     return d.select("book_id", long("chunk_index").alias("chunk_index"), long("batch_idx").alias("batch_idx"), long("pos").alias("pos"), "instruction", "response")
 
 
@@ -164,7 +168,7 @@ def json_repair(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resume_pending(spark: SparkSession, sf: str) -> DataFrame:
-    c = _page_chunks(spark, sf).select("book_id", "chunk_index", "word_count")
+    c = settle(_chunks(spark, sf).select("book_id", "chunk_index", "word_count"))
     return G.pending(c, c.where("chunk_index % 3 = 0").select("book_id", "chunk_index")).select("book_id", long("chunk_index").alias("chunk_index"), "word_count")
 
 
@@ -218,11 +222,12 @@ def dedup_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def part2_filtered(spark: SparkSession, sf: str) -> DataFrame:
-    """Conversation pairs, some of them repeated under new ids, against the documents' pairs of even ids."""
+    """All conversation pairs, each again with blanks around and another response, and with another instruction to the same response,
+    against all of the documents' pairs and every conversation's first."""
     c = I.conversation_pairs(spark, sf)
-    again = c.where("pair_id % 4 = 0").select((F.col("pair_id") + 500).alias("pair_id"), F.upper("instruction").alias("instruction"), F.concat(F.col("response"), F.lit(" more")).alias("response"))
-    other = c.where("pair_id % 3 = 0").select((F.col("pair_id") + 700).alias("pair_id"), F.concat(F.col("instruction"), F.lit(" too")).alias("instruction"), "response")
-    seen = I.pairs(spark, sf).where("pair_id % 2 = 0").unionByName(c.where("pair_id % 5 = 0"))
+    again = c.select((F.col("pair_id") + 500).alias("pair_id"), F.concat(F.lit(" "), F.col("instruction"), F.lit("\n")).alias("instruction"), F.concat(F.col("response"), F.lit(" more")).alias("response"), "turn")
+    other = c.select((F.col("pair_id") + 700).alias("pair_id"), F.concat(F.col("instruction"), F.lit(" too")).alias("instruction"), "response", "turn")
+    seen = I.pairs(spark, sf).unionByName(c.where("turn = 0").drop("turn"))
     keys = [seen.select(T.match_key(F.col(k)).alias("key")).distinct() for k in ("instruction", "response")]
     return G.unseen(c.unionByName(again).unionByName(other), *keys).select("pair_id")
 
