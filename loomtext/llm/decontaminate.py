@@ -7,22 +7,28 @@ windows of ``window`` words (a shorter item is one window).  As Wu-Manber has it
 0, the bucket of the window's suffix hash selects patterns, and all words are compared before a hit counts.  Cursors of
 many stretches of text move side by side in numpy.
 
-The patterns are broadcast in blocks of at most ``block_bytes`` of benchmark text; a larger benchmark takes several
-passes over a document within the same task, so nothing is shuffled and nothing grows with the benchmark but time.
+The benchmark goes out in blocks of at most ``block_bytes`` of text (a longer item is a block of its own).  The driver holds
+one block at a time.  One block is searched in the pass that returns the documents.  Of several, each takes a pass over the
+texts, which writes only what was found to the shared folder, by the text's hash; the finds are merged and joined once.
 
-Edge cases: null or empty texts have no words and no hits; items without words have no windows; a null item_id is left
-out; items with the same text each count; an empty table gives an empty table; repeated rows and extra columns are
-kept, and columns that begin with ``bench_`` are reserved.
+Edge cases: null or empty texts have no words and no hits; very long texts are searched in stretches; items without words have
+no windows; a null item_id is left out; items with the same text each count, so there are no ties; an empty table gives an
+empty table; repeated rows and extra columns are kept, whatever their names: only columns that are called as this operator's
+own (``bench_words``, ``bench_hits``, ``bench_items``, ``bench_spans`` if asked for) are replaced.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
+
+from .shared import fresh, settled
 
 BLOCK = 2
 TABLE_BITS = 18
@@ -138,45 +144,126 @@ class Matcher:
             yield int(sizes[k]), covered[base[k] : base[k] + sizes[k]], found.get(k, set())
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
     """Items in blocks of at most so many bytes of text, read one after another."""
-    out: list[list[tuple[str, bytes]]] = [[]]
+    block: list[tuple[str, bytes]] = []
     size = 0
     rows = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string"), F.coalesce(F.col("text"), F.lit("")))
     for name, text in rows.toLocalIterator():
         raw = text.encode()
-        if size + len(raw) > block_bytes and out[-1]:
-            out.append([])
-            size = 0
-        out[-1].append((name, raw))
+        if size + len(raw) > block_bytes and block:
+            yield block
+            block, size = [], 0
+        block.append((name, raw))
         size += len(raw)
+    yield block
+
+
+PART = 512
+
+
+def _texts(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    for whole in batches:
+        for offset in range(0, whole.num_rows, PART):
+            batch = whole.slice(offset, PART)
+            yield batch, [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]
+
+
+def _runs(hit: np.ndarray) -> list[list[int]]:
+    return np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).reshape(-1, 2).tolist()
+
+
+def _once(docs: DataFrame, block: list[tuple[str, bytes]], window: int, spans: bool) -> DataFrame:
+    """docs with the results of one block."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(sent.value, window)
+        for batch, texts in _texts(batches, "text"):
+            rows = list(matcher.match(texts))
+            values = [pa.array([n for n, _, _ in rows], pa.int64()), pa.array([int(h.sum()) for _, h, _ in rows], pa.int64()), pa.array([sorted(i) for _, _, i in rows], pa.list_(pa.string()))]
+            if spans:
+                values.append(pa.array([_runs(h) for _, h, _ in rows], pa.list_(pa.list_(pa.int32()))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *values], [*batch.schema.names, *NAMES[: len(values)]])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *_fields(spans)]))
+
+
+NAMES = ("bench_words", "bench_hits", "bench_items", "bench_spans")
+
+
+def _fields(spans: bool) -> list:
+    return StructType.fromDDL("bench_words long, bench_hits long, bench_items array<string>" + ", bench_spans array<array<int>>" * spans).fields
+
+
+def _finds(docs: DataFrame, block: list[tuple[str, bytes]], window: int) -> DataFrame:
+    """(key: hash of the text, items, mask: compressed bits of the hit words) of the texts with hits, each once."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(sent.value, window)
+        for batch, texts in _texts(batches, "text"):
+            keys, items, masks = [], [], []
+            for key, (_, hit, found) in zip(batch.column(0).to_pylist(), matcher.match(texts)):
+                if found:
+                    keys.append(key)
+                    items.append(sorted(found))
+                    masks.append(zlib.compress(np.packbits(hit).tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(items, pa.list_(pa.string())), pa.array(masks, pa.binary())], ["key", "items", "mask"])
+
+    rows = docs.select(F.md5(F.col("text").cast("binary")).alias("key"), "text").mapInArrow(run, "key string, items array<string>, mask binary")
+    out = settled(rows.groupBy("key").agg(F.first("items").alias("items"), F.first("mask").alias("mask")))
+    sent.destroy()
     return out
 
 
+def _merged(docs: DataFrame, finds: list[DataFrame], spans: bool) -> DataFrame:
+    """docs with what all blocks found; a text has one row a block at most."""
+    every = finds[0]
+    for x in finds[1:]:
+        every = every.union(x)
+    key, own, items, masks = fresh(docs, "bench_key", "bench_own", "bench_found", "bench_masks")
+    every = every.groupBy(F.col("key").alias(key)).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(items), F.collect_list("mask").alias(masks))
+    joined = docs.withColumn(own, F.md5(F.col("text").cast("binary"))).join(every, F.col(own) == F.col(key), "left").drop(own, key)
+    keep = [f.name for f in docs.schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in _texts(batches, "text"):
+            at = batch.schema.get_field_index
+            sizes, hits, runs = [], [], []
+            for text, packed in zip(texts, batch.column(at(masks)).to_pylist()):
+                n = len(words(text))
+                hit = np.zeros(n, bool)
+                for x in packed or ():
+                    hit |= np.unpackbits(np.frombuffer(zlib.decompress(x), np.uint8), count=n).astype(bool)
+                sizes.append(n)
+                hits.append(int(hit.sum()))
+                runs.append(_runs(hit))
+            found = pa.array([x or [] for x in batch.column(at(items)).to_pylist()], pa.list_(pa.string()))
+            values = [pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), found] + [pa.array(runs, pa.list_(pa.list_(pa.int32())))] * spans
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *values], [*keep, *NAMES[: len(values)]])
+
+    return joined.mapInArrow(run, StructType([*docs.schema.fields, *_fields(spans)]))
+
+
 def search(docs: DataFrame, benchmark: DataFrame, window: int = 8, block_bytes: int = 4 << 20, spans: bool = False) -> DataFrame:
     """Adds bench_words (long), bench_hits (long), bench_items (sorted array of ids as strings) to docs, and, if asked
     for, bench_spans (array of the first and last + 1 of each run of hit words)."""
+    docs = docs.drop(*NAMES[: 3 + spans])
     blocks = _blocks(benchmark, block_bytes)
-    sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(x) for x in blocks]
-    extra = [("bench_words", pa.int64()), ("bench_hits", pa.int64()), ("bench_items", pa.list_(pa.string()))] + [("bench_spans", pa.list_(pa.list_(pa.int32())))] * spans
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _once(docs, first, window, spans)
+    finds = [_finds(docs, first, window), _finds(docs, second, window)]
+    finds += [_finds(docs, block, window) for block in blocks]
+    return _merged(docs, finds, spans)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(sent[0].value, window) if len(sent) == 1 else None
-        for whole in batches:
-            for offset in range(0, whole.num_rows, 512):
-                batch = whole.slice(offset, 512)
-                texts = [x or b"" for x in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
-                rows: list[tuple[int, np.ndarray, set[str]]] | None = None
-                for b in sent:
-                    got = list((matcher or Matcher(b.value, window)).match(texts))
-                    rows = got if rows is None else [(n, h | h2, i | i2) for (n, h, i), (_, h2, i2) in zip(rows, got)]
-                cols = {f.name: batch.column(k) for k, f in enumerate(batch.schema)}
-                values = [[n for n, _, _ in rows], [int(h.sum()) for _, h, _ in rows], [sorted(i) for _, _, i in rows]]
-                if spans:
-                    values.append([np.flatnonzero(np.diff(np.concatenate([[0], h.view(np.int8), [0]]))).reshape(-1, 2).tolist() for _, h, _ in rows])
-                cols |= {name: pa.array(v, kind) for (name, kind), v in zip(extra, values)}
-                yield pa.RecordBatch.from_pydict(cols)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, schema + ", bench_words long, bench_hits long, bench_items array<string>" + ", bench_spans array<array<int>>" * spans)
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 8, block_bytes: int = 4 << 20) -> DataFrame:
+    """docs without the documents in which a run of ``window`` or more words is hit: those that hold a window of an item. An
+    item shorter than that doesn't condemn a document by itself, as its few words also stand in clean ones."""
+    own = [c for c in docs.columns if c.lower() in NAMES]
+    kept = docs.withColumnsRenamed(dict(zip(own, fresh(docs, *(f"bench_own_{c}" for c in own)))))
+    found = search(kept, benchmark, window, block_bytes, spans=True)
+    found = found.where(~F.exists("bench_spans", lambda x: x[1] - x[0] >= window)).drop(*NAMES)
+    return found.toDF(*docs.columns)
