@@ -4,15 +4,18 @@ A tree builder turns markup into elements: void elements, raw text (script, styl
 rows, cells, table parts), implied rows, and end tags that close what is still open inside.  A renderer walks the tree,
 leaves out what is not shown (head, scripts, ``hidden``, ``display:none`` and ``visibility:hidden`` by attribute or by the
 page's own style sheets, closed details, SVG outside its text elements) and emits all other text: white space collapsed, blank lines around
-paragraphs, headings, lists and tables, list markers with indents, table cells in aligned columns (``colspan`` and
-``rowspan`` are honoured; a column is padded to ``WIDEST`` at most), ``pre`` as it is.
+paragraphs, headings, lists and tables, list markers with indents (of at most ``DEEPEST`` columns), table cells in aligned
+columns, ``pre`` as it is.  Cells keep their lines, so lists and tables inside them stay what they are; a line of more than
+``WIDEST`` characters with another cell to its right is broken at blanks, so that columns stay aligned and padding bounded;
+``colspan`` and ``rowspan`` are honoured.
 
 Rules for other media than the screen are skipped.  Rules cascade by importance, specificity and order.  A rule counts as
 hiding only where it is sure to apply (a compound of tag, classes and id; no media features); one that shows also counts
 where it may apply, so that text is kept in doubt.
 
 Edge cases: null html gives null, empty html an empty text; broken markup is text or is closed at the end; nesting of any
-depth takes no recursion; repeated rows and extra columns are kept (``html_text`` is reserved); an empty table gives an
+depth takes no recursion; very long texts and attributes are read whole; of style rules that tie the later one counts; repeated
+rows and extra columns are kept, whatever their names: only a column called ``html_text`` is replaced; an empty table gives an
 empty table.
 """
 
@@ -25,9 +28,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-WIDEST = 60
+from .shared import with_columns
+
+WIDEST, DEEPEST = 60, 400
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]{0,8192}\"|'[^']{0,8192}')*+|[^>]*)>", re.S
+    r"<!--(?:.*?-->|.*)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SHEET = re.compile(r"([^{};]*)([{};])")
@@ -261,6 +266,7 @@ class _Sheet:
         self.indent = ""
         self.marker = ""
         self.fresh = True  # nothing on the current line yet
+        self.rigid = False  # holds lines that must not be broken
 
     def gap(self, breaks: int) -> None:
         if self.out:
@@ -290,6 +296,7 @@ class _Sheet:
         self.space = s[-1].isspace()
 
     def verbatim(self, s: str) -> None:
+        self.rigid = True
         for k, part in enumerate(s.replace("\r\n", "\n").split("\n")):
             if k:
                 self.line()
@@ -301,45 +308,94 @@ class _Sheet:
         return "".join(self.out)
 
 
-def _number(value: str, most: int) -> int:
-    return min(most, int(value)) if value.isascii() and value.isdigit() and int(value[:6]) > 0 else 1
+def _number(value: str, most: int, beyond: int) -> int:
+    """A span: 1 unless it is a number above 0; more than ``most`` counts as ``beyond``."""
+    m = re.match(r"\s*\+?0*([1-9][0-9]*)", value)
+    return 1 if not m else int(m[1]) if len(m[1]) < 9 and int(m[1]) <= most else beyond
 
 
-def _table(rows: list[list[tuple[str, int, int]]]) -> list[str]:
-    """Lines of a table of (text, colspan, rowspan) cells, columns aligned."""
-    grid: list[dict[int, str]] = []
+def _broken(lines: list[str]) -> list[str]:
+    """Lines of more than WIDEST characters broken at blanks."""
+    out = []
+    for line in lines:
+        if len(line) <= WIDEST:
+            out.append(line)
+            continue
+        now: list[str] = []
+        size = 0
+        for word in line.split(" "):
+            if now and size + len(word) > WIDEST:
+                out.append(" ".join(now))
+                now, size = [], 0
+            now.append(word)
+            size += len(word) + 1
+        out.append(" ".join(now))
+    return out
+
+
+def _table(rows: list[list[tuple[list[str], bool, int, int]]]) -> list[str]:
+    """Lines of a table of (lines, rigid, colspan, rowspan) cells, columns aligned."""
+    grid: list[list[tuple[int, int, list[str]]]] = []  # (column, columns, lines) of the cells with text
     taken: dict[int, int] = {}  # column: rows that a cell from above still takes
-    wide: dict[int, int] = {}
     for cells in rows:
-        line: dict[int, str] = {}
-        column, now = 0, dict(taken)
-        taken = {c: n - 1 for c, n in taken.items() if n > 1}
-        for text, across, down in cells:
+        line: list[tuple[int, int, list[str]]] = []
+        column, now = 0, taken
+        taken = {c: n - 1 for c, n in now.items() if n > 1}
+        last = max((k for k, cell in enumerate(cells) if any(cell[0])), default=-1)
+        for k, (lines, rigid, across, down) in enumerate(cells):
             while now.get(column):
                 column += 1
-            line[column] = text
-            if across == 1:
-                wide[column] = max(wide.get(column, 0), min(len(text), WIDEST))
+            if any(lines):
+                line.append((column, across, lines if rigid or k == last else _broken(lines)))
             if down > 1:
                 taken.update({c: down - 1 for c in range(column, column + across)})
             column += across
         grid.append(line)
-    columns = sorted({c for line in grid for c in line})
-    begin, at = {}, 0
-    for c in columns:
-        begin[c] = at
-        at += wide.get(c, 0) + 2
+    # only cells with another to their right hold that one off
+    held = [(c, across, max(map(len, lines))) for line in grid for c, across, lines in line[:-1]]
+    columns = sorted({c for line in grid for c, _, _ in line} | {c + across for c, across, _ in held})
+    begin = dict.fromkeys(columns, 0)
+    ends: dict[int, list[tuple[int, int]]] = {}
+    for c, across, size in held:
+        ends.setdefault(c + across, []).append((c, size))
+    for before, c in zip(columns, columns[1:]):
+        begin[c] = max([begin[before] + 2 * (before >= 0), *(begin[first] + size + 2 for first, size in ends.get(c, ()))])
     out = []
     for line in grid:
-        text = ""
-        for c in sorted(line):
-            if line[c]:
-                text = text.ljust(begin[c]) if len(text) <= begin[c] else text + "  "
-                text += line[c]
-        out.append(text.rstrip())
+        for k in range(max((len(lines) for _, _, lines in line), default=0)):
+            text = ""
+            for c, _, lines in line:
+                if k < len(lines) and lines[k]:
+                    text = text.ljust(begin[c]) if len(text) <= begin[c] else text + "  "
+                    text += lines[k]
+            out.append(text.rstrip())
     return out
 
 
+_ROMAN = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
+
+
+def _ordinal(n: int, kind: str) -> str:
+    """A list item's number as its list's type has it; numbers that a type doesn't have stay decimal."""
+    out = ""
+    if kind in ("a", "A") and n > 0:
+        while n:
+            n, k = divmod(n - 1, 26)
+            out = chr(97 + k) + out
+    elif kind in ("i", "I") and 0 < n < 4000:
+        for value, sign in _ROMAN:
+            out += sign * (n // value)
+            n %= value
+    else:
+        return str(n)
+    return out.upper() if kind in ("A", "I") else out
+
+
+def _whole(value: str) -> int | None:
+    m = re.match(r"\s*([+-]?[0-9]{1,9})", value)
+    return int(m[1]) if m else None
+
+
 def render(source: str) -> str:
     """The text that the page shows."""
     root, styles = build(source)
@@ -366,7 +422,8 @@ def render(source: str) -> str:
             if tag in ("td", "th") and tables and " sheet" in node.attributes:
                 inner, sheet = sheet, node.attributes.pop(" sheet")
                 a = node.attributes
-                tables[-1][-1].append((" ".join(inner.result().split()), _number(a.get("colspan", ""), 100), _number(a.get("rowspan", ""), 1000)))
+                lines = [x.rstrip() for x in inner.result().split("\n")]
+                tables[-1][-1].append((lines, inner.rigid, _number(a.get("colspan", ""), 1000, 1), _number(a.get("rowspan", ""), 65534, 65534)))
                 continue
             if tag == "table":
                 for line in _table(tables.pop()):
@@ -413,18 +470,21 @@ def render(source: str) -> str:
                 if counter[0] is None:
                     mark = "- "
                 else:
-                    if a.get("value", "").isdigit():
-                        counter[0] = int(a["value"][:9])
-                    mark = f"{counter[0]}. "
-                    counter[0] += 1
-                sheet.indent = sheet.indent[:400] + " " * len(mark)
+                    if (own := _whole(a.get("value", ""))) is not None:
+                        counter[0] = own
+                    mark = f"{_ordinal(counter[0], a.get('type', counter[2]))}. "
+                    counter[0] += counter[1]
+                sheet.indent = sheet.indent[:DEEPEST] + " " * len(mark)
                 sheet.marker = mark
                 sheet.fresh = True
             elif tag in ("blockquote", "dd"):
-                sheet.indent = sheet.indent[:400] + "  "
+                sheet.indent = sheet.indent[:DEEPEST] + "  "
             if tag in ("ul", "ol", "menu", "dir"):
-                start = a.get("start", "")
-                lists.append([(int(start[:9]) if start.isdigit() else 1) if tag == "ol" else None])
+                down = "reversed" in a
+                start = _whole(a.get("start", ""))
+                if start is None:
+                    start = sum(isinstance(c, Element) and c.tag == "li" for c in node.children) if down else 1
+                lists.append([start, -1 if down else 1, a.get("type", "")] if tag == "ol" else [None])
         if tag == "table":
             tables.append([])
         if tag == "tr" and tables:
@@ -452,12 +512,6 @@ def render(source: str) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """Replaces html by html_text in pages(html, ...)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("html")
-            texts = [None if s is None else render(s) for s in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_pydict({f.name: batch.column(k) for k, f in enumerate(batch.schema) if k != at} | {"html_text": pa.array(texts, pa.string())})
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != "html")
-    return pages.mapInArrow(run, (kept + ", " if kept else "") + "html_text string")
+    at = [c.lower() for c in pages.drop("html_text").columns].index("html")
+    start = lambda: lambda batch: [pa.array([None if s is None else render(s) for s in batch.column(at).to_pylist()], pa.string())]
+    return with_columns(pages, "html_text string", start, ("html",))
