@@ -6,25 +6,34 @@ weight.  A match inside an exception phrase (``trash can``) doesn't count.  A te
 number of words, goes through a logistic curve.
 
 ``learn`` takes the lexicon from labelled rows: an entry's weight is its smoothed log odds between toxic and clean
-documents.  ``fit`` reads at most ``max_rows`` toxic and twice as many clean rows, chosen by a hash of doc_id; everything
-else covers all rows.
-
-Edge cases: null or empty text scores as a text without matches; rows without a label or text are not learned from; with
-no labelled rows only the given lexicon counts; an empty table gives an empty table; repeated rows and extra columns
-are kept (``toxic_`` is a reserved prefix).
+documents.  Exception phrases are learned too: an entry with a word before or after it that clean documents have time and
+again and toxic ones don't.  The given lexicon, phrases and curve are the prior: what is learned comes beside the given
+words, and the curve is fitted with a pull to the given one, so few labelled rows change little and none change nothing.
+``fit`` reads at most ``max_rows`` toxic and twice as many clean rows, in the order of a hash of doc_id, and of these as
+many whole texts as ``max_bytes`` hold; everything else covers all rows.
+
+Edge cases: null or empty text scores as a text without matches; very long texts are folded and matched whole; rows without a
+label or text are not learned from; of labels that repeat a doc_id any one counts if they agree, none if not; of entries that
+begin together the heaviest counts; entries that are as telling are taken in falling order of their text; an empty table gives
+an empty table; repeated rows and extra columns are kept, whatever their names: only columns called ``toxic_score`` or
+``toxic_matches`` are replaced.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from .shared import with_columns
 
 # fixed values: look-alike letters and the digits that stand for letters
 _LOOKS = {
@@ -96,7 +105,10 @@ def matches(folded: str, automaton) -> list[tuple[int, int, float]]:
         elif start not in found or weight > found[start][2]:
             found[start] = (start, last + 1, weight)
     if apart:
-        found = {s: m for s, m in found.items() if not any(a <= m[0] and m[1] <= b for a, b in apart)}
+        apart.sort()
+        begins, furthest = [a for a, _ in apart], list(accumulate((b for _, b in apart), max))
+        inside = lambda m: (k := bisect_right(begins, m[0])) and m[1] <= furthest[k - 1]
+        found = {s: m for s, m in found.items() if not inside(m)}
     return [found[s] for s in sorted(found)]
 
 
@@ -165,38 +177,73 @@ def _lexicon(data: list[tuple[str, int]], least: int, size: int) -> dict[str, fl
     return weights
 
 
+def _phrases(data: list[tuple[str, int]], weights: dict[str, float], least: int) -> tuple[str, ...]:
+    """Two-word phrases around an entry that at least so many clean documents have, and so many fewer toxic ones that its
+    odds, two standard errors on, are still against toxicity."""
+    a = Model(weights=weights, exceptions=()).automaton()
+    n, seen = Counter(y for _, y in data), (Counter(), Counter())
+    for t, y in data:
+        around = set()
+        for start, end, _ in matches(t, a):
+            word = t.find(" ", start + 1) + 1 or len(t)  # past the word that the entry begins
+            before, after = t.rfind(" ", 0, start), t.find(" ", word)
+            if before >= 0:
+                around.add(t[before:word])
+            if after >= 0:
+                around.add(t[start : after + 1])
+        seen[y].update(around)
+    out = []
+    for phrase, k in seen[0].items():
+        if k >= least:
+            bad = seen[1][phrase]
+            odds = math.log((bad + 0.5) / (n[1] + 1)) - math.log((k + 0.5) / (n[0] + 1))
+            if odds + 2 * math.sqrt(1 / (bad + 0.5) + 1 / (k + 0.5)) < 0:
+                out.append(phrase)
+    return tuple(sorted(out))
+
+
+#: pull of the curve to the given one
+PULL = 0.01
+
+
 def learn(rows: Iterable[tuple[str, int]], least: int = 5, size: int = 200, odds: float = 1.0) -> Model:
     """A model from (text, toxic) rows. The curve is fitted on signals that each half of the rows gets from the other
     half's lexicon, so that it doesn't trust what a lexicon says of its own rows. odds: by how much toxic rows are rarer
     among all rows, relative to clean ones, than among these."""
     data = [(fold(t or ""), int(y)) for t, y in rows]
-    n = Counter(y for _, y in data)
-    if min(n[0], n[1]) < 20:
-        return Model()
+
+    def lexicon(part: list[tuple[str, int]], least: int) -> Model:
+        weights = GIVEN | _lexicon(part, least, size)
+        return Model(weights=weights, exceptions=EXCEPTIONS + _phrases(part, weights, least))
+
     x, y = [], []
     for half in (0, 1):
-        a = Model(weights=_lexicon(data[1 - half :: 2], max(2, least // 2), size)).automaton()
+        a = lexicon(data[1 - half :: 2], max(2, least // 2)).automaton()
         x += [signals(t, a) for t, _ in data[half::2]]
         y += [label for _, label in data[half::2]]
-    x, y = np.array(x), np.array(y, float)
-    design, beta = np.c_[np.ones(len(x)), x], np.zeros(4)
+    x, y = np.array(x, float).reshape(-1, 3), np.array(y, float)
+    prior = np.array(Model.curve)
+    design, beta = np.c_[np.ones(len(x)), x], prior.copy()
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (y - p) - 0.01 * beta
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(4)
+        gradient = design.T @ (y - p) - PULL * (beta - prior)
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + PULL * np.eye(4)
         beta = beta + np.linalg.solve(hessian, gradient)
     beta[0] += math.log(odds)
-    return Model(weights=_lexicon(data, least, size), curve=tuple(float(b) for b in beta))
+    model = lexicon(data, least)
+    return Model(weights=model.weights, exceptions=model.exceptions, curve=tuple(float(b) for b in beta))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> Model:
-    """A model from docs(doc_id, text) and labels(doc_id, toxic): at most max_rows toxic and twice as many clean rows, chosen
-    by a hash of doc_id; how rare toxic rows are comes from all of them."""
-    known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2000, max_bytes: int = 64 << 20) -> Model:
+    """A model from docs(doc_id, text) and labels(doc_id, toxic): at most max_rows toxic and twice as many clean rows, and at
+    most max_bytes of whole texts, in the order of a hash of doc_id; how rare toxic rows are comes from all of them."""
+    known = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other").drop("other")
     counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     chosen = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((0, 2 * max_rows), (1, max_rows))]
     sample = F.broadcast(chosen[0].union(chosen[1]))  # at most 3 * max_rows ids
-    rows = docs.join(sample, "doc_id").where(F.col("text").isNotNull()).orderBy(F.xxhash64("doc_id"), "text").limit(3 * max_rows).select("text", "toxic").collect()
+    some = docs.join(sample, "doc_id").where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes)).orderBy(F.xxhash64("doc_id"), "text").limit(3 * max_rows)
+    upto = Window.orderBy(F.xxhash64("doc_id"), "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over the limit's few rows
+    rows = some.withColumn("bytes", F.sum(F.octet_length("text").cast("long")).over(upto)).where(F.col("bytes") <= max_bytes).select("text", "toxic").collect()
     odds = 1.0
     if counts.get(0) and counts.get(1):
         odds = (counts[1] / min(counts[1], max_rows)) / (counts[0] / min(counts[0], 2 * max_rows))
@@ -206,18 +253,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Adds toxic_score (0 to 1) and toxic_matches (number of entries that count) to docs(text, ...)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most a few hundred entries
+    at = [c.lower() for c in docs.drop("toxic_score", "toxic_matches").columns].index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         m = sent.value
         a = m.automaton()
-        for batch in batches:
+
+        def make(batch: pa.RecordBatch) -> list[pa.Array]:
             scores, counts = [], []
-            for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
+            for text in batch.column(at).to_pylist():
                 folded = fold(text or "")
                 z = m.curve[0] + sum(c * s for c, s in zip(m.curve[1:], signals(folded, a)))
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
                 counts.append(len(matches(folded, a)))
-            yield pa.RecordBatch.from_pydict({f.name: batch.column(k) for k, f in enumerate(batch.schema)} | {"toxic_score": pa.array(scores, pa.float64()), "toxic_matches": pa.array(counts, pa.int64())})
+            return [pa.array(scores, pa.float64()), pa.array(counts, pa.int64())]
+
+        return make
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, schema + ", toxic_score double, toxic_matches long")
+    return with_columns(docs, "toxic_score double, toxic_matches long", start)
