@@ -92,8 +92,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(f"pii_{k}").cast("bigint").alias(f"n_{k}") for k in pii.BASE]
-    base = [F.col(f"pii_{k}") for k in pii.BASE]
-    return d.select("doc_id", *counts, F.sha2(pii.digest(base).cast("binary"), 256).alias("base_sha256"), pii.digest([*base, F.col("pii_iban")]).alias("spans"))
+    base, more = [F.col(f"pii_{k}") for k in pii.BASE], [F.col(f"pii_{k}") for k in pii.ADDED]
+    added = [F.size(f"pii_{k}").cast("bigint").alias(f"n_{k}") for k in pii.ADDED]
+    n_spans = sum((F.size(x) for x in [*base, *more]), F.lit(0)).cast("bigint").alias("n_spans")
+    return d.select("doc_id", *counts, F.sha2(pii.digest(base).cast("binary"), 256).alias("base_sha256"), pii.digest([*base, *more]).alias("spans"), *added, n_spans)
 
 
 def queries() -> dict:
