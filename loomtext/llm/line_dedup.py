@@ -13,8 +13,9 @@ code points that are found in at least ``min_docs`` documents lose all their lin
 4. Dropped line numbers are gathered by document and packed into zlib-compressed bitmaps; the texts meet only these.
 
 Edge cases: a null or empty text is one empty line, which stays; a null doc_id counts as one document, the smallest;
-repeated rows (same doc_id) are one document, and each row gets its text's bitmap; extra columns are kept by ``apply``
-unless they begin with ``line_``, a reserved prefix; an empty table gives an empty table.
+repeated rows (same doc_id) are one document, and each row gets its text's bitmap; a line that stands several times in the
+document that keeps it stays each time; very long texts are split whole; extra columns are kept by ``apply``, whatever their
+names: only columns called ``line_n`` or ``line_dropped`` are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import settled
+from .shared import fresh, settled, with_columns
 
 _WS = b" \t\n\x0b\x0c\r"
 _OUT = pa.schema([("line_h1", pa.int64()), ("line_h2", pa.int64()), ("line_doc", pa.int64()), ("line_fp", pa.int64()), ("line_no", pa.int32())])
@@ -137,35 +138,41 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     return dropped.groupBy("line_doc", "line_fp").agg(F.collect_set("line_no").alias("line_nos")).mapInArrow(_bitmaps, "line_doc long, line_fp long, line_keep binary")
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = batch.schema.get_field_index
+#: bitmaps that are broadcast: so many bytes at most, measured first
+FEW_BYTES = 32 << 20
+
+
+def apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """docs with the dropped lines taken out of text, and line_n (lines before) and line_dropped added.
+
+    Bitmaps of up to FEW_BYTES are broadcast, so that no text moves; more are joined by shuffling."""
+    bitmaps = settled(bitmaps)
+    size = bitmaps.agg(F.coalesce(F.sum(F.octet_length("line_keep") + 64), F.lit(0))).first()[0]
+    docs = docs.drop("line_n", "line_dropped")
+    doc, fp, keep, own = names = fresh(docs, "line_doc", "line_fp", "line_keep", "line_own")
+    maps = bitmaps.toDF(doc, fp, keep)
+    on = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(fp))
+    joined = docs.withColumn(own, F.xxhash64("text")).join(F.broadcast(maps) if size <= FEW_BYTES else maps, on, "left").drop(doc, fp, own)
+    at, packed_at = [c.lower() for c in docs.columns].index("text"), len(docs.columns)
+
+    def make(batch: pa.RecordBatch) -> list[pa.Array]:
         counts, drops, texts = [], [], []
-        for text, packed in zip(batch.column(at("text")).cast(pa.binary()).to_pylist(), batch.column(at("line_keep")).to_pylist()):
+        for text, packed in zip(batch.column(at).cast(pa.binary()).to_pylist(), batch.column(packed_at).to_pylist()):
+            lines = (text or b"").split(b"\n")
+            counts.append(len(lines))
             if packed is None:
-                counts.append((text or b"").count(b"\n") + 1)
                 drops.append(0)
                 texts.append(text)
                 continue
-            lines = (text or b"").split(b"\n")
             keep = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).astype(bool)[: len(lines)]
             keep = np.concatenate([keep, np.ones(len(lines) - len(keep), bool)])
-            counts.append(len(lines))
             drops.append(int(len(lines) - keep.sum()))
             texts.append(b"\n".join(x for x, k in zip(lines, keep) if k))
-        cols = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
-        cols |= {"text": pa.array(texts, pa.binary()).cast(pa.string()), "line_n": pa.array(counts, pa.int64()), "line_dropped": pa.array(drops, pa.int64())}
-        del cols["line_keep"]
-        yield pa.RecordBatch.from_pydict(cols)
+        return [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(drops, pa.int64())]
 
-
-def apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """docs with the dropped lines taken out of text, and line_n (lines before) and line_dropped added."""
-    own = docs.withColumn("line_own", F.xxhash64("text"))
-    on = F.col("doc_id").eqNullSafe(F.col("line_doc")) & (F.col("line_own") == F.col("line_fp"))
-    joined = own.join(bitmaps, on, "left").drop("line_doc", "line_fp", "line_own")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", line_n long, line_dropped long"
-    return joined.mapInArrow(_apply, schema)
+    out = with_columns(joined, "text string, line_n long, line_dropped long", lambda: make, ("text", names[2]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*columns, "line_n", "line_dropped")
 
 
 def dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
