@@ -93,20 +93,25 @@ def test_large_bucket_with_strays(spark):
     assert sorted(tuple(r) for r in minhash.near_duplicates(docs, 85).collect()) == sorted(brute.op9(rows))
 
 
-def test_long_runs_and_many_occurrences(spark):
+@pytest.mark.parametrize("cover", [suffix_dedup.CONTENT, suffix_dedup.RESIDUES])
+def test_long_runs_and_many_occurrences(spark, cover):
+    """Names with more rows than a task holds at once, dealt over several groups; whole copies; a text that repeats itself."""
     import brute
 
     rng = random.Random(4)
     passage = "".join(rng.choice("abcdef ") for _ in range(300))
     rows = [(k, "".join(rng.choice("ghij") for _ in range(50)) + passage[rng.randrange(60) :] + "tail%d" % k) for k in range(150)]
-    old, suffix_dedup.BLOCK = suffix_dedup.BLOCK, 64
-    try:
-        got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    finally:
-        suffix_dedup.BLOCK = old
+    rows += [(k + 1000, rows[k % 7][1]) for k in range(40)] + [(2000, "x" * 900), (2001, "xy" * 400), (2002, passage * 20), (2003, "é" * 120)]
+    rng.shuffle(rows)
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), cover, block=64, share=50, large=5).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, len(r.removed), r.kept_sha256) for r in got) == sorted(brute.op2(rows))
 
 
+def test_every_difference_has_a_cover_position():
+    c = suffix_dedup.RESIDUES
+    assert {(a - b) % c.modulus for a in c.residues for b in c.residues} == set(range(c.modulus))
+
+
 def test_benchmark_in_blocks(spark):
     docs = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog today")], "doc_id long, text string")
     bench = spark.createDataFrame([(k, f"filler{k} words that are not there at all ok") for k in range(20)] + [(77, "quick brown fox jumps over the lazy dog")], "item_id long, text string")
