@@ -14,16 +14,17 @@ groups, each counted once however large it is (over the corpus's groups where a
 between languages and are then not held).  A clean group loses nothing and no share of rows is always cut off.
 
 Edge cases: null or empty text has no words, all counts 0, ``base_failed`` true; null
-lang or source is a group of its own; an empty table gives an empty table; repeated
-rows each get their row; extra columns are ignored by ``measure``'s callers that
-select, and kept by ``judge``.
+lang or source is a group of its own; a signal that equals its cutoff passes; very long texts
+are measured whole; an empty table gives an empty table; repeated rows each get their row;
+extra columns are kept, whatever their names: only columns called as the measurements
+(``q_words``, ``q_kept`` ...) are replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import settled
+from .shared import fresh, settled
 
 WS = r"\x20\x09-\x0D"
 SYMBOLS = r"[#*$%&|<>]"
@@ -84,21 +85,22 @@ def measure(docs: DataFrame) -> DataFrame:
     the projections apart and evaluates it once a row.
     """
     t = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.withColumn("q_w", F.regexp_extract_all(t, F.lit(f"[^{WS}]+"), F.lit(0)))
+    w, h, ls, p = fresh(docs, "q_w", "q_h", "q_lines", "q_p")
+    d = docs.withColumn(w, F.regexp_extract_all(t, F.lit(f"[^{WS}]+"), F.lit(0)))
     d = d.withColumns({
-        "q_h": _repeat_words(F.col("q_w")),
-        "q_words": F.size("q_w").cast("bigint"),
-        "q_chars": F.length(F.array_join("q_w", "")).cast("bigint"),
+        h: _repeat_words(F.col(w)),
+        "q_words": F.size(w).cast("bigint"),
+        "q_chars": F.length(F.array_join(w, "")).cast("bigint"),
         "q_symbols": F.regexp_count(t, F.lit(SYMBOLS)).cast("bigint"),
         "q_upper": F.regexp_count(t, F.lit(r"\p{Lu}{2,}")).cast("bigint"),
-        "q_lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{WS}]")),
+        ls: F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{WS}]")),
     })
     d = d.withColumns({
-        "q_p": _sorted_pairs(F.col("q_h")),
-        "q_dup_lines": (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("bigint"),
-        "q_n_lines": F.size("q_lines").cast("bigint"),
+        p: _sorted_pairs(F.col(h)),
+        "q_dup_lines": (F.size(ls) - F.size(F.array_distinct(ls))).cast("bigint"),
+        "q_n_lines": F.size(ls).cast("bigint"),
     })
-    d = d.withColumn("q_repeat", _span(_repeated_starts(F.col("q_p"))))
+    d = d.withColumn("q_repeat", _span(_repeated_starts(F.col(p))))
     rate = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     return d.withColumns({
         "q_base_failed": (F.col("q_words") < 50) | (100 * F.col("q_repeat") > 50 * F.col("q_words")),
@@ -107,7 +109,7 @@ def measure(docs: DataFrame) -> DataFrame:
         "q_repeat_rate": rate("q_repeat", "q_words"),
         "q_dup_line_rate": rate("q_dup_lines", "q_n_lines"),
         "q_word_length": rate("q_chars", "q_words"),
-    }).drop("q_w", "q_h", "q_p", "q_lines")
+    }).drop(w, h, p, ls)
 
 
 def _fences(prefix: str) -> list[Column]:
@@ -152,11 +154,21 @@ def thresholds(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *cut)
 
 
+#: cutoffs that are broadcast: one row a language and source, counted first (12 MB)
+FEW_GROUPS = 100_000
+
+
 def judge(measured: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Adds ``q_kept``: not base_failed and within every cutoff of its (lang, source)."""
-    within = F.coalesce(F.col(f"q_{LENGTH}").between(F.col("cut_low_length"), F.col("cut_high_length")), F.lit(True))
+    """Adds ``q_kept``: not base_failed and within every cutoff of its (lang, source). Few groups' cutoffs go to the rows; only if
+    there are more are rows shuffled to them."""
+    cuts = settled(cuts)
+    few = cuts.count() <= FEW_GROUPS
+    own = dict(zip(cuts.columns, fresh(measured, *cuts.columns)))
+    cuts = cuts.withColumnsRenamed(own)
+    cut = lambda c: F.col(own[f"cut_{c}"])
+    within = F.coalesce(F.col(f"q_{LENGTH}").between(cut("low_length"), cut("high_length")), F.lit(True))
     for s in SIGNALS:
-        within = within & F.coalesce(F.col(f"q_{s[0]}") <= F.col(f"cut_{s[0]}"), F.lit(True))
-    on = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
-    joined = measured.join(cuts, on, "left")
-    return joined.withColumn("q_kept", ~F.col("q_base_failed") & within).drop("t_lang", "t_source", *[f"cut_{c}" for c in CUTS])
+        within = within & F.coalesce(F.col(f"q_{s[0]}") <= cut(s[0]), F.lit(True))
+    on = F.col("lang").eqNullSafe(F.col(own["t_lang"])) & F.col("source").eqNullSafe(F.col(own["t_source"]))
+    joined = measured.join(F.broadcast(cuts) if few else cuts, on, "left")
+    return joined.withColumn("q_kept", ~F.col("q_base_failed") & within).drop(*own.values())
