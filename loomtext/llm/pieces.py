@@ -9,19 +9,23 @@ are remembered up to a bounded number.
 A literal ``\\u2581`` takes byte pieces, so decoding returns each text exactly.  Scores are the model's; for a model
 trained by merges they rank merges, so the segmentation is the best by score and need not be the merge order's.
 
-Edge cases: a null text encodes as null and decodes as null; an empty text as no ids; repeated rows, clashing names and
-extra columns are kept (``piece_ids`` and ``piece_text`` are reserved); an empty table gives an empty table.
+Of pieces that end at the same place with the same best score the longest is taken.
+
+Edge cases: a null text encodes as null and decodes as null; an empty text as no ids; very long texts are cut at their spaces,
+and what has none is walked as one stretch; repeated rows and extra columns are kept, whatever their names: only columns
+called ``piece_ids`` or ``piece_text`` are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shared import with_columns
+
 MARK = "▁"
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 BYTE_COST = -1e12  # for each byte: worse than any piece
@@ -228,22 +232,23 @@ def _lists(ids: list[bytes], texts: list[str | None]) -> pa.ListArray:
 
 def _coded(docs: DataFrame, pieces: list[tuple[str, float, str]], back: bool) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(Codec(pieces))
+    new = "piece_ids array<int>" + ", piece_text string" * back
+    at = [c.lower() for c in docs.drop("piece_ids", *["piece_text"] * back).columns].index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         codec = sent.value
-        for whole in batches:
-            for offset in range(0, whole.num_rows, 256):
-                batch = whole.slice(offset, 256)
-                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                ids = codec.encode_batch([t or "" for t in texts])
-                added = {"piece_ids": _lists(ids, texts)}
-                if back:
-                    decoded = [None if t is None else codec.decode(np.frombuffer(x, "<i4").tolist()) for t, x in zip(texts, ids)]
-                    added["piece_text"] = pa.array(decoded, pa.string())
-                yield pa.RecordBatch.from_pydict({f.name: batch.column(k) for k, f in enumerate(batch.schema)} | added)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, schema + ", piece_ids array<int>" + ", piece_text string" * back)
+        def make(batch: pa.RecordBatch) -> list[pa.Array]:
+            texts = batch.column(at).to_pylist()
+            ids = codec.encode_batch([t or "" for t in texts])
+            if not back:
+                return [_lists(ids, texts)]
+            decoded = [None if t is None else codec.decode(np.frombuffer(x, "<i4").tolist()) for t, x in zip(texts, ids)]
+            return [_lists(ids, texts), pa.array(decoded, pa.string())]
+
+        return make
+
+    return with_columns(docs, new, start, part=256)
 
 
 def encode(docs: DataFrame, pieces: list[tuple[str, float, str]]) -> DataFrame:
@@ -259,13 +264,10 @@ def encode_and_decode(docs: DataFrame, pieces: list[tuple[str, float, str]]) ->
 def decode(encoded: DataFrame, pieces: list[tuple[str, float, str]]) -> DataFrame:
     """Adds piece_text string to encoded(piece_ids, ...)."""
     sent = encoded.sparkSession.sparkContext.broadcast(Codec(pieces))
+    at = [c.lower() for c in encoded.drop("piece_text").columns].index("piece_ids")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         codec = sent.value
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index("piece_ids"))
-            texts = [None if not x.is_valid else codec.decode(x.values.to_numpy(zero_copy_only=False).tolist()) for x in column]
-            yield pa.RecordBatch.from_pydict({f.name: batch.column(k) for k, f in enumerate(batch.schema)} | {"piece_text": pa.array(texts, pa.string())})
+        return lambda batch: [pa.array([None if not x.is_valid else codec.decode(x.values.to_numpy(zero_copy_only=False).tolist()) for x in batch.column(at)], pa.string())]
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, schema + ", piece_text string")
+    return with_columns(encoded, "piece_text string", start)

@@ -11,8 +11,9 @@ executors: tasks that run together (a barrier stage) hold a share each and add u
 driver gets the finished model only, whatever the corpus's size.
 
 Edge cases: a null or empty text has the vector of a text without words and gets a score like any other; null labels count
-as unlabelled; without positives every score is 0.5; an empty table gives an empty table; repeated rows and extra columns
-are kept (``quality_`` is a reserved prefix).
+as unlabelled; without positives every score is 0.5; very long texts are measured whole; equal vectors get equal scores; an
+empty table gives an empty table; repeated rows and extra columns are kept, whatever their names: only columns called
+``quality_x`` or ``quality_score`` are replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .minhash import word_hashes
-from .shared import settled
+from .shared import settled, with_columns
 
 FEATURES = ("signs", "capitals", "digits", "bars", "exclaim", "points", "high", "breaks", "adjacent", "distinct", "triples", "lines", "word", "long", "size", "dominant")
 #: features are in 0..1 or so; cells round them to so many steps
@@ -75,17 +76,14 @@ def features(text: bytes) -> np.ndarray:
 
 def featurise(docs: DataFrame) -> DataFrame:
     """Replaces text by quality_x array<float>."""
+    at = [c.lower() for c in docs.drop("quality_x").columns].index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            x = [features(t or b"") for t in batch.column(at).cast(pa.binary()).to_pylist()]
-            flat = np.array(x, np.float32).reshape(-1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES)), pa.array(flat))
-            yield pa.RecordBatch.from_pydict({f.name: batch.column(k) for k, f in enumerate(batch.schema) if k != at} | {"quality_x": lists})
+    def make(batch: pa.RecordBatch) -> list[pa.Array]:
+        x = [features(t or b"") for t in batch.column(at).cast(pa.binary()).to_pylist()]
+        flat = np.array(x, np.float32).reshape(-1)
+        return [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES)), pa.array(flat))]
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(run, (kept + ", " if kept else "") + "quality_x array<float>")
+    return with_columns(docs, "quality_x array<float>", lambda: make, ("text",))
 
 
 def cells(vectors: DataFrame) -> DataFrame:
@@ -270,13 +268,10 @@ def fit(vectors: DataFrame, labels: DataFrame, steps: int = 600) -> Model | None
 
 def score(vectors: DataFrame, model: Model | None) -> DataFrame:
     """Replaces quality_x by quality_score."""
+    at = [c.lower() for c in vectors.drop("quality_score").columns].index("quality_x")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("quality_x")
-            x = batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, len(FEATURES))
-            s = model.score(x) if model is not None else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_pydict({f.name: batch.column(k) for k, f in enumerate(batch.schema) if k != at} | {"quality_score": pa.array(s)})
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vectors.schema if f.name != "quality_x")
-    return vectors.mapInArrow(run, (kept + ", " if kept else "") + "quality_score double")
+    def make(batch: pa.RecordBatch) -> list[pa.Array]:
+        x = batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, len(FEATURES))
+        return [pa.array(model.score(x) if model is not None else np.full(len(x), 0.5))]
+
+    return with_columns(vectors, "quality_score double", lambda: make, ("quality_x",), part=10_000)
