@@ -190,12 +190,14 @@ def _first_pairs(met: DataFrame) -> DataFrame:
 
 
 def _several(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, node, c: its component, main, n) of the rows (key, node) in buckets that hold several components: main is the one
-    with most nodes there, n the number of nodes."""
+    """(key, node, c: its component, main, n, pick) over rows (key, node) of buckets that hold several components: main is the one
+    with most nodes there, pick some node of it, n the number of nodes. Of buckets of more than SMALL nodes only those outside
+    main are returned."""
     known = rows.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    share = known.groupBy("key", "c").agg(F.count("*").alias("m"))
-    spans = share.groupBy("key").agg(F.count("*").alias("cs"), F.sum("m").alias("n"), F.max(F.struct("m", "c"))["c"].alias("main")).where("cs > 1").select("key", "main", "n")
-    return known.join(spans, "key").select("key", "node", "c", "main", "n")
+    share = known.groupBy("key", "c").agg(F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", "key")).alias("pick"))
+    spans = share.groupBy("key").agg(F.count("*").alias("cs"), F.sum("m").alias("n"), F.max(F.struct("m", "c", "pick")).alias("top")).where("cs > 1")
+    spans = spans.select(F.col("key").alias("k"), F.col("top.c").alias("main"), "n", F.col("top.pick").alias("pick"))
+    return known.join(spans, (F.col("key") == F.col("k")) & ((F.col("n") <= SMALL) | (F.col("c") != F.col("main")))).drop("k")
 
 
 #: nodes of the main component that one outside meets before it meets all
@@ -203,13 +205,11 @@ FEW = 16
 
 
 def _next_pairs(open_: DataFrame) -> DataFrame:
-    """(a, b) to compare next, over rows (key, node, c, main, n)."""
+    """(a, b) to compare next, over rows (key, node, c, main, n, pick)."""
     low, high = lambda x, y: F.least(x["node"], y["node"]), lambda x, y: F.greatest(x["node"], y["node"])
     small = open_.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_set(F.struct("node", "c")).alias("g"))
     pairs = F.flatten(F.transform("g", lambda x, i: F.transform(F.filter(F.slice("g", i + 2, SMALL), lambda y: y["c"] != x["c"]), lambda y: F.struct(low(x, y).alias("a"), high(x, y).alias("b")))))
-    large = open_.where(F.col("n") > SMALL)
-    of_main = large.where("c = main").groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("a"))  # another one in each bucket
-    meets = large.where("c != main").join(of_main, "key").select("a", F.col("node").alias("b")).distinct()
+    meets = open_.where(F.col("n") > SMALL).select(F.col("pick").alias("a"), F.col("node").alias("b")).distinct()  # another pick in each bucket
     few = meets.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("a", "b").alias("h"), "a"))), 1, FEW).alias("as"))
     return small.select(F.inline(pairs)).union(few.select(F.explode("as.a").alias("a"), "b")).distinct()
 
@@ -297,23 +297,23 @@ def _against(limit: int):
     return run
 
 
-def _stray_links(large: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
-    """Links between the nodes that stand outside the main component of a large bucket and all that meet them there, over rows
-    (key, node, c, main, n).
+def _stray_links(strays: DataFrame, found: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+    """Links between strays (main, node, c), which stand outside the main component of a large bucket, and all nodes of that
+    component and other strays of it.
 
     Around each main component, the strays are dealt into blocks and the members into salts; every member meets every block,
     and pairs that are no links are never written out.
     """
-    touching = settled(large.select("main", "node", "c").distinct())
-    apart = F.col("c") != F.col("main")
-    sizes = touching.groupBy("main").agg(F.ceil(F.count_if(apart) / STRAYS).cast("int").alias("blocks"), F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
-    rows = touching.join(sizes, "main").where("blocks > 0")
+    mains = settled(strays.groupBy("main").agg(F.ceil(F.count("*") / STRAYS).cast("int").alias("blocks")))
+    inside = mains.join(found, F.col("component") == F.col("main")).select("main", "node").union(mains.select("main", F.col("main").alias("node"))).distinct()
+    members = inside.withColumn("c", F.col("main")).union(strays.select("main", "node", "c"))
+    sizes = settled(members.groupBy("main").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts")).join(mains, "main"))
     block, salt = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("salts")).cast("int")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    strays = rows.where(apart).select("main", block.alias("block"), upto("salts").alias("salt"), F.lit(0).alias("member"), "node", "c")
-    members = rows.select("main", upto("blocks").alias("block"), salt.alias("salt"), F.lit(1).alias("member"), "node", "c")
+    of_strays = strays.join(sizes, "main").select("main", block.alias("block"), upto("salts").alias("salt"), F.lit(0).alias("member"), "node", "c")
+    of_members = members.join(sizes, "main").select("main", upto("blocks").alias("block"), salt.alias("salt"), F.lit(1).alias("member"), "node", "c")
     order = ["main", "block", "salt", "member", "node"]
-    full = strays.union(members).join(texts, "node").select(*order, "c", "text")
+    full = of_strays.union(of_members).join(texts, "node").select(*order, "c", "text")
     return full.repartition("main", "block", "salt").sortWithinPartitions(*order).mapInArrow(_against(limit), "a long, b long").distinct()
 
 
@@ -342,10 +342,11 @@ def _links(classes: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
         return found
     as_links = lambda d: d.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(as_links(found).union(confirm(more, texts, limit)))
-    large = settled(_several(open_.where(F.col("n") > SMALL).select("key", "node"), found))
-    if large.isEmpty():
+    left = open_.where(F.col("n") > SMALL).select("key").distinct()
+    strays = settled(_several(met.select("key", "node").join(left, "key", "left_semi"), found).where(F.col("n") > SMALL).select("main", "node", "c").distinct())
+    if strays.isEmpty():
         return found
-    return components(as_links(found).union(_stray_links(large, texts, limit)))
+    return components(as_links(found).union(_stray_links(strays, found, texts, limit)))
 
 
 def _judged(docs: DataFrame, limit: int) -> DataFrame:

@@ -78,3 +78,22 @@ def test_html_that_is_shown_stays():
         assert show(hidden) == "", hidden
     assert html_text.render("<style media=print>p{display:none}</style><p>x") == "x"
     assert html_text.render("a <svg><defs/><title>t</title><circle r=1 /><text>b</text><desc>d</desc></svg> <math><mi>c</mi><mo>=</mo><mn>2</mn></math> e") == "a b c=2 e"
+
+
+def test_html_tables_and_lists():
+    cells = "<table><tr><td>a<td><ul><li>x<li>y</ul><td>z<tr><td>bb<td>line<br>two<td><table><tr><td>n<td>1<tr><td>mm<td>2</table></table>"
+    assert html_text.render(cells) == "a   - x   z\n    - y\nbb  line  n   1\n    two   mm  2"
+    spans = "<table><tr><td colspan=2>a wide one<td>x<tr><td>p<td>q<td>y<tr><td rowspan=2>r<td>s<td>t<tr><td>u<td>v</table>"
+    assert html_text.render(spans) == "a wide one  x\np  q        y\nr  s        t\n   u        v"
+    long = " ".join(f"word{k}" for k in range(30))
+    lines = html_text.render(f"<table><tr><td>{long}<td>right<tr><td>short<td>below</table>").split("\n")
+    assert lines[0].index("right") == lines[-1].index("below") <= 62 and " ".join(x.replace("right", "").strip() for x in lines[:-1]) == long
+    assert html_text.render(f"<table><tr><td>k<td>{long}</table>") == f"k  {long}"
+    assert html_text.render("<ol start=-1><li>a<li>b<li>c</ol>") == "-1. a\n0. b\n1. c"
+    assert html_text.render("<ol type=a start=26><li>a<li>b</ol><ol type=I><li>a<li value=9>b</ol><ol reversed><li>a<li>b</ol>") == "z. a\naa. b\n\nI. a\nIX. b\n\n2. a\n1. b"
+
+
+def test_html_long_attributes_and_broken_quotes():
+    assert html_text.render(f"<p title=\"{'a > b ' * 5000}\">x</p><img alt='{'<p>y</p>' * 3000}'>z") == "x\n\nz"
+    assert html_text.render("<p title=\"x>a</p><b>b</b>c").replace("\n", "") == "abc"  # the quote is closed nowhere
+    html_text.render("<p class='x>" * 20001 + "end")
