@@ -9,10 +9,11 @@ pair at similarity 0.8 meets with probability 0.9996, at 0.85 with 0.99998, at 0
 Equal sets are collapsed to one node first.  Tables are range-partitioned by (key, node), so a bucket that a third of all
 documents share is spread over many tasks.  No pair is left out, but most are settled without being compared:
 
-1. Each node is compared with one other: the smallest of those that come first in a bucket of its.  The links are contracted.
-2. Of the buckets that still hold several components, small ones (up to ``SMALL`` nodes) compare all pairs of unlike
-   components; in large ones, nodes outside the bucket's main component (the one with most nodes there) meet a few of it.
-   The links are contracted again.
+1. Each node is compared with a few others: of those that come first in its buckets, the ones it shares most buckets with.  The
+   links are contracted.
+2. Pairs that share a small bucket (up to ``SMALL`` nodes) and are in unlike components are compared.  In large buckets that still
+   hold several components, nodes outside the main one (that with most nodes there) meet a few of it.  The links are
+   contracted again.
 3. What is then still outside the main component of a large bucket meets all nodes there, in blocks.
 
 So all pairs that share a bucket are in one component, or have been compared.
@@ -134,38 +135,53 @@ def sign(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text"), "text").mapInArrow(_sign, _SIGNED)
 
 
-_MET = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("pivot", pa.int64()), ("edge", pa.bool_())])
+_MET = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("pivot", pa.int64()), ("kind", pa.int8())])
+MEMBER, EDGE, PAIR = 0, 1, 2
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows (key, node) sorted by both: the rows of buckets with two nodes or more, pivot being the first of them here;
-    and as an edge the pivot of the partition's first and last bucket, which may go on in its neighbours."""
+    """Over rows (key, node) sorted by both: all pairs of small buckets, pivot being the smaller; the members of large ones, and
+    of the partition's first and last, which may go on in its neighbours, pivot being the first of them here; and that one as an
+    edge. A bucket of one in between gives nothing."""
 
-    def out(key: np.ndarray, node: np.ndarray, pivot: np.ndarray, edge: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(pivot), pa.array(np.full(len(key), edge))], schema=_MET)
+    def out(kind: int, key: np.ndarray, node: np.ndarray, pivot: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(pivot), pa.array(np.full(len(key), kind, np.int8))], schema=_MET)
 
-    kept = None  # the first row of the bucket that is open
-    told = False  # that row has been given out
+    kept = None  # of the bucket that is open: its first row if it has been given out, else all of its rows
+    told, first = False, None
     for batch in batches:
         if not batch.num_rows:
             continue
         key, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         if kept is None:
-            yield out(key[:1], node[:1], node[:1], True)
+            first = key[0]
+            yield out(EDGE, key[:1], node[:1], node[:1])
         else:
             key, node = (np.concatenate([k, x]) for k, x in zip(kept, (key, node)))
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        begin = np.flatnonzero(new)
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.concatenate([begin, [len(key)]]))
-        pivot, many = np.repeat(node[begin], size), np.repeat(size > 1, size)
+        large = (size > SMALL) | (key[begin] == first)
+        large[0] |= told
         last = int(begin[-1])
-        told_last = bool(many[last]) or (last == 0 and told)
-        if told:
-            many[0] = False
-        yield out(key[many], node[many], pivot[many], False)
-        kept, told = (key[last : last + 1], node[last : last + 1]), told_last
+        whole = np.ones(len(begin), bool)
+        whole[-1] = False  # may go on
+        tell, pivot = np.repeat(large, size), np.repeat(node[begin], size)
+        tell[0] &= not told
+        yield out(MEMBER, key[tell], node[tell], pivot[tell])
+        few, start = np.repeat(whole & ~large & (size > 1), size), np.repeat(begin, size)
+        at = np.flatnonzero(few)
+        for u in range(1, SMALL):
+            at = at[at - u >= start[at]]
+            if not len(at):
+                break
+            yield out(PAIR, key[at], node[at], node[at - u])
+        told = bool(large[-1])
+        stop = last + 1 if told else len(key)
+        kept = key[last:stop], node[last:stop]
     if kept is not None:
-        yield out(kept[0], kept[1], kept[1], True)
+        if not told:
+            yield out(MEMBER, kept[0], kept[1], np.repeat(kept[1][:1], len(kept[1])))
+        yield out(EDGE, kept[0][:1], kept[1][:1], kept[1][:1])
 
 
 def _tables(classes: DataFrame) -> DataFrame:
@@ -176,42 +192,48 @@ def _tables(classes: DataFrame) -> DataFrame:
 
 
 def meetings(classes: DataFrame) -> DataFrame:
-    """(key, node, pivot, edge) of the nodes that share a bucket with others."""
+    """(key, node, pivot, kind) of the nodes that share a bucket with others."""
     order = [F.col("key"), F.col("node")]
-    return settled(_tables(classes).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_meet, "key long, node long, pivot long, edge boolean"))
+    return settled(_tables(classes).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_meet, "key long, node long, pivot long, kind byte"))
+
+
+#: pivots that a node meets first
+FIRST = 3
 
 
 def _first_pairs(met: DataFrame) -> DataFrame:
-    """(a, b): for each node the smallest pivot of its buckets; and the pivots of a bucket that lies across partitions."""
-    star = met.where("pivot != node").groupBy("node").agg(F.min("pivot").alias("a")).select("a", F.col("node").alias("b"))
-    edges = met.where("edge").select("key", "pivot").distinct()  # two rows a partition at most
+    """(a, b): for each node those that it shares most buckets with, which it is most like, of all in small buckets and of the
+    pivots of large ones; and the pivots of a bucket that lies across partitions."""
+    shared = met.where((F.col("kind") != EDGE) & (F.col("pivot") != F.col("node"))).groupBy("node", "pivot").agg(F.count("*").alias("n"))
+    most = shared.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "pivot"))), 1, FIRST).alias("as"))
+    star = most.select(F.explode("as.pivot").alias("a"), F.col("node").alias("b"))
+    edges = met.where(F.col("kind") == EDGE).select("key", "pivot").distinct()  # two rows a partition at most
     across = edges.groupBy("key").agg(F.min("pivot").alias("a"), F.collect_list("pivot").alias("bs")).select("a", F.explode("bs").alias("b")).where("a != b")
     return star.union(across).distinct()
 
 
 def _several(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, node, c: its component, main, n, pick) over rows (key, node) of buckets that hold several components: main is the one
-    with most nodes there, pick some node of it, n the number of nodes. Of buckets of more than SMALL nodes only those outside
-    main are returned."""
+    """(key, node, c: its component, main, pick) over rows (key, node): those that are in a bucket with several components, but not
+    in the one with most nodes there, which is main; pick is some node of that."""
     known = rows.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     share = known.groupBy("key", "c").agg(F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", "key")).alias("pick"))
-    spans = share.groupBy("key").agg(F.count("*").alias("cs"), F.sum("m").alias("n"), F.max(F.struct("m", "c", "pick")).alias("top")).where("cs > 1")
-    spans = spans.select(F.col("key").alias("k"), F.col("top.c").alias("main"), "n", F.col("top.pick").alias("pick"))
-    return known.join(spans, (F.col("key") == F.col("k")) & ((F.col("n") <= SMALL) | (F.col("c") != F.col("main")))).drop("k")
+    spans = share.groupBy("key").agg(F.count("*").alias("cs"), F.max(F.struct("m", "c", "pick")).alias("top")).where("cs > 1")
+    spans = spans.select(F.col("key").alias("k"), F.col("top.c").alias("main"), F.col("top.pick").alias("pick"))
+    return known.join(spans, (F.col("key") == F.col("k")) & (F.col("c") != F.col("main"))).drop("k")
 
 
 #: nodes of the main component that one outside meets before it meets all
 FEW = 16
 
 
-def _next_pairs(open_: DataFrame) -> DataFrame:
-    """(a, b) to compare next, over rows (key, node, c, main, n, pick)."""
-    low, high = lambda x, y: F.least(x["node"], y["node"]), lambda x, y: F.greatest(x["node"], y["node"])
-    small = open_.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_set(F.struct("node", "c")).alias("g"))
-    pairs = F.flatten(F.transform("g", lambda x, i: F.transform(F.filter(F.slice("g", i + 2, SMALL), lambda y: y["c"] != x["c"]), lambda y: F.struct(low(x, y).alias("a"), high(x, y).alias("b")))))
-    meets = open_.where(F.col("n") > SMALL).select(F.col("pick").alias("a"), F.col("node").alias("b")).distinct()  # another pick in each bucket
+def _next_pairs(small: DataFrame, strays: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b) to compare next: the pairs (a, b) of small buckets that are in unlike components, and a few for each stray (node,
+    pick)."""
+    of = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    apart = small.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    meets = strays.select(F.col("pick").alias("a"), F.col("node").alias("b")).distinct()  # another pick in each bucket
     few = meets.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("a", "b").alias("h"), "a"))), 1, FEW).alias("as"))
-    return small.select(F.inline(pairs)).union(few.select(F.explode("as.a").alias("a"), "b")).distinct()
+    return apart.union(few.select(F.explode("as.a").alias("a"), "b")).distinct()
 
 
 def _confirm(limit: int):
@@ -323,7 +345,7 @@ FEW_NODES = 1_000_000
 def _texts_of(met: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, text) of the nodes that share a bucket, one row each. Up to FEW_NODES of them (24 MB) are broadcast, so that only
     their texts move; more are joined by shuffling."""
-    nodes = settled(classes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("first.nd_doc").alias("doc_id"), F.col("first.nd_text").alias("nd_text")))
+    nodes = settled(classes.join(met.select(F.explode(F.array("node", "pivot")).alias("node")).distinct(), "node", "left_semi").select("node", F.col("first.nd_doc").alias("doc_id"), F.col("first.nd_text").alias("nd_text")))
     few = F.broadcast(nodes) if nodes.count() <= FEW_NODES else nodes
     own = docs.select("doc_id", F.xxhash64("text").alias("nd_text"), "text")
     return settled(own.join(few, ["doc_id", "nd_text"]).select("node", "text").dropDuplicates(["node"]))
@@ -334,16 +356,18 @@ def _links(classes: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
     met = meetings(classes)
     tidy(docs.sparkSession)
     texts = _texts_of(met, classes, docs)
+    members = met.where(F.col("kind") == MEMBER).select("key", "node")
+    small = met.where(F.col("kind") == PAIR).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     found = components(confirm(settled(_first_pairs(met)), texts, limit))
-    open_ = settled(_several(met.select("key", "node"), found))
+    strays = settled(_several(members, found))
+    more = settled(_next_pairs(small, strays, found))
     tidy(docs.sparkSession)
-    more = settled(_next_pairs(open_))
     if more.isEmpty():
         return found
     as_links = lambda d: d.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(as_links(found).union(confirm(more, texts, limit)))
-    left = open_.where(F.col("n") > SMALL).select("key").distinct()
-    strays = settled(_several(met.select("key", "node").join(left, "key", "left_semi"), found).where(F.col("n") > SMALL).select("main", "node", "c").distinct())
+    open_ = members.join(strays.select("key").distinct(), "key", "left_semi")
+    strays = settled(_several(open_, found).select("main", "node", "c").distinct())
     if strays.isEmpty():
         return found
     return components(as_links(found).union(_stray_links(strays, found, texts, limit)))

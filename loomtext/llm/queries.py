@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .oracles import ORACLES
 from .shared import settled
 
 
@@ -98,9 +99,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *counts, F.sha2(pii.digest(base).cast("binary"), 256).alias("base_sha256"), pii.digest([*base, *more]).alias("spans"), *added, n_spans)
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8 without the learned verdict, which SQL can't express."""
+    return op8_quality_rules(spark, sf_dir).drop("kept")
+
+
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10's base kinds, which SQL can express."""
+    return op10_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
 def queries() -> dict:
-    return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
+    out = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return out | {"quality_base": quality_base, "pii_base": pii_base}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(ORACLES)

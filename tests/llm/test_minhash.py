@@ -51,17 +51,24 @@ def test_a_thousand_near_copies(spark):
 
 
 def test_meetings_in_batches():
-    """Rows of shared buckets, each once, whatever the batches' borders."""
+    """Pairs of small buckets, members of large ones and of those at the edges, each once, whatever the batches' borders."""
     rng = np.random.default_rng(3)
-    key = np.sort(rng.integers(0, 60, 150))
-    node = np.arange(150)
-    for step in (1, 2, 7, 150):
-        batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + step]), pa.array(node[i : i + step])], ["key", "node"]) for i in range(0, 150, step)]
-        got = [r for b in minhash._meet(iter(batches)) for r in b.to_pylist()]
-        first = {k: int(node[key == k][0]) for k in key}
-        want = [(int(k), int(n), first[k]) for k, n in zip(key, node) if (key == k).sum() > 1]
-        assert sorted((r["key"], r["node"], r["pivot"]) for r in got if not r["edge"]) == want
-        assert [(r["key"], r["node"]) for r in got if r["edge"]] == [(int(k), first[k]) for k in (key[0], key[-1])]
+    for spread in (3, 9, 60, 400):
+        key = np.sort(rng.integers(0, spread, 150))
+        node = np.arange(150)
+        for step in (1, 2, 7, 150):
+            batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + step]), pa.array(node[i : i + step])], ["key", "node"]) for i in range(0, 150, step)]
+            got = sorted((r["kind"], r["key"], r["node"], r["pivot"]) for b in minhash._meet(iter(batches)) for r in b.to_pylist())
+            want = []
+            for k in set(key.tolist()):
+                of = node[key == k].tolist()
+                edge = k in (key[0], key[-1])
+                want += [(minhash.EDGE, k, of[0], of[0])] * edge * (1 + (key[0] == key[-1]))
+                if edge or len(of) > minhash.SMALL:
+                    want += [(minhash.MEMBER, k, n, of[0]) for n in of]
+                else:
+                    want += [(minhash.PAIR, k, n, m) for n in of for m in of if m < n]
+            assert got == sorted(want)
 
 
 def test_keep_one_keeps_one_row(spark):
