@@ -190,4 +190,10 @@ fold AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS gi, CAST([] AS B
 SELECT pair_id FROM cand WHERE pair_id NOT IN (SELECT pair_id FROM several) UNION ALL SELECT kept FROM fold WHERE kept IS NOT NULL""",
     "chat_export": _WITH + _CONV + """ SELECT pair_id, '{"messages":[{"role":"system","content":"You are a helpful tutor."},{"role":"user","content":' || CAST(to_json(instruction) AS VARCHAR) || '},{"role":"assistant","content":' || CAST(to_json(response) AS VARCHAR) || '}]}' AS value FROM conv""",
     "curate_end_to_end": _RWITH + _JSON + ", v AS (SELECT line_no AS pair_id, instruction, response FROM checked WHERE reason IS NULL), c1 AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY " + _FP.format("instruction") + " ORDER BY pair_id) = 1), c2 AS (SELECT * FROM c1 QUALIFY row_number() OVER (PARTITION BY " + _FP.format("response") + " ORDER BY pair_id) = 1)" + _GOOD.format("c2") + _NEAR + " SELECT pair_id, md5(instruction) AS instruction_md5, md5(response) AS response_md5 FROM near",
+    "rejoined_hyphens": r"SELECT doc_id, md5(regexp_replace(replace(text, 'th', 't-' || chr(10) || 'h'), '(\w)-\n(\w)', '\1\2', 'g')) AS text_md5 FROM documents",
+    "too_short_books": "SELECT book_id, word_count FROM (SELECT CAST(doc_id AS VARCHAR) AS book_id, CAST(" + _WORDS.format("text") + " AS BIGINT) AS word_count FROM documents) WHERE word_count < 500",
+    "strict_pairs": _WITH + _JSON + " SELECT line_no AS pair_id, json_extract_string(value, '$.instruction') AS instruction, json_extract_string(value, '$.response') AS response FROM js WHERE json_valid(value)",
+    "seen_keys": _WITH + _JSON + ", good AS (SELECT json_extract_string(value, '$.instruction') AS i, json_extract_string(value, '$.response') AS r FROM js WHERE json_valid(value)) SELECT DISTINCT 'instruction' AS kind, md5(" + _KEY.format("i") + ") AS key_md5 FROM good UNION ALL SELECT DISTINCT 'response', md5(" + _KEY.format("r") + ") FROM good",
+    "line_count": _WITH + _JSON + " SELECT count(*) AS n FROM js WHERE trim(value) <> ''",
+    "heading_rule": "WITH w AS (SELECT unnest(['Chapter', 'Act', 'Scene', 'Prologue', 'Epilogue', 'Part', 'Book', 'Volume', 'Section', 'Actor', 'Partly']) AS w), v AS (SELECT w FROM w UNION SELECT upper(w) FROM w UNION SELECT lower(w) FROM w), l AS (SELECT DISTINCT lang FROM documents), s AS (SELECT w AS line FROM v UNION SELECT w || ' ' || lang FROM v, l UNION SELECT lang || ' ' || w FROM v, l) SELECT line, regexp_matches(line, '^(?:chapter|act|scene|prologue|epilogue|part|book|volume|section)\\b.*$', 'i') AND NOT (NOT contains(line, ' ') AND upper(line) = line AND len(line) <= 4) AS is_heading, ".replace("\\\\", "\\") + _TYPE.format("line") + " AS section_type FROM s",
 }

@@ -172,6 +172,38 @@ def resume_pending(spark: SparkSession, sf: str) -> DataFrame:
     return G.pending(c, c.where("chunk_index % 3 = 0").select("book_id", "chunk_index")).select("book_id", long("chunk_index").alias("chunk_index"), "word_count")
 
 
+def rejoined_hyphens(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents with a line's end put into some words."""
+    broken = F.replace(F.col("text"), F.lit("th"), F.lit("t-\nh"))
+    return I.table(spark, sf, "documents").select("doc_id", F.md5(T.rejoin_hyphens(broken)).alias("text_md5"))
+
+
+def too_short_books(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as a book."""
+    return P.too_short(I.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("book_id"), "text"))
+
+
+def strict_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return jsonl.strict_pairs(I.json_lines(spark, sf))
+
+
+def seen_keys(spark: SparkSession, sf: str) -> DataFrame:
+    i, r = jsonl.seen_keys(I.json_lines(spark, sf))
+    return i.select(F.lit("instruction").alias("kind"), F.md5("key").alias("key_md5")).union(r.select(F.lit("response"), F.md5("key")))
+
+
+def line_count(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.createDataFrame([(jsonl.line_count(I.json_lines(spark, sf)),)], "n long")
+
+
+def heading_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Which of some lines are headings: heading words in all cases, alone and before each document's language."""
+    words = F.explode(F.array(*(F.lit(x) for w in (*I.HEADINGS, "Actor", "Partly") for x in (w, w.upper(), w.lower()))))
+    d = I.table(spark, sf, "documents").select("lang").distinct().select("lang", words.alias("word"))
+    d = d.select(F.explode(F.array("word", F.concat_ws(" ", "word", "lang"), F.concat_ws(" ", "lang", "word"))).alias("line")).distinct()
+    return d.select("line", T.is_heading(F.col("line")).alias("is_heading"), T.heading_type(F.col("line")).alias("section_type"))
+
+
 def validate_reasons(spark: SparkSession, sf: str) -> DataFrame:
     d = V.checked(I.json_lines(spark, sf))
     return d.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(F.count("*").alias("n"))
@@ -246,7 +278,8 @@ NAMES = """word_count_by_book normalise_whitespace sanitise_backslashes fingerpr
 recurring_headers headers_removed clean_pages assembled_books headings heading_types sections_by_heading sections_by_paragraph
 section_strategy sentence_split chunks chunk_stats batch_plan run_estimate prompts stub_pairs json_repair resume_pending
 validate_reasons validated_pairs validation_counts dedup_instruction dedup_response quality_filtered idf_table tfidf_norms
-similar_pairs near_dedup dedup_summary part2_filtered chat_export curate_end_to_end""".split()
+similar_pairs near_dedup dedup_summary part2_filtered chat_export curate_end_to_end rejoined_hyphens too_short_books strict_pairs seen_keys
+line_count heading_rule""".split()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
