@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import fresh, settled, with_columns
+from .shared import few, fresh, settled, with_columns
 
 _WS = b" \t\n\x0b\x0c\r"
 _OUT = pa.schema([("line_h1", pa.int64()), ("line_h2", pa.int64()), ("line_doc", pa.int64()), ("line_fp", pa.int64()), ("line_no", pa.int32())])
@@ -127,11 +127,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     dealt = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     runs = settled(dealt.mapInArrow(_stream(min_docs), "line_h1 long, line_h2 long, line_doc long, line_fp long, line_no int, line_kind byte"))
     # ids of at most min_docs documents an edge run, and two such runs a partition
-    edges = runs.where(F.col("line_kind") == EDGE).groupBy("line_h1", "line_h2").agg(
-        F.max("line_doc").alias("line_keeper"),
-        (F.count_distinct("line_doc") + F.max(F.when(F.col("line_doc").isNull(), 1).otherwise(0))).alias("line_docs"),
-    )
-    open_rows = runs.where(F.col("line_kind") == OPEN).join(F.broadcast(edges), ["line_h1", "line_h2"])
+    n = F.count_distinct("line_doc") + F.max(F.when(F.col("line_doc").isNull(), 1).otherwise(0))
+    edges = settled(runs.where(F.col("line_kind") == EDGE).groupBy("line_h1", "line_h2").agg(F.max("line_doc").alias("line_keeper"), n.alias("line_docs")))
+    open_rows = runs.where(F.col("line_kind") == OPEN).join(few(edges), ["line_h1", "line_h2"])
     decided = open_rows.where((F.col("line_docs") >= min_docs) & ~F.col("line_doc").eqNullSafe(F.col("line_keeper")))
     columns = ["line_doc", "line_fp", "line_no"]
     dropped = runs.where(F.col("line_kind") == DROP).select(*columns).union(decided.select(*columns))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .shared import fresh, settled, tidy
+from .shared import few, fresh, settled, tidy
 
 SHINGLE, COLLECTION, ROWS, SMALL = 5, 12, 3, 9
 _MAP = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
@@ -232,8 +232,8 @@ def _next_pairs(small: DataFrame, strays: DataFrame, found: DataFrame) -> DataFr
     of = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
     apart = small.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     meets = strays.select(F.col("pick").alias("a"), F.col("node").alias("b")).distinct()  # another pick in each bucket
-    few = meets.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("a", "b").alias("h"), "a"))), 1, FEW).alias("as"))
-    return apart.union(few.select(F.explode("as.a").alias("a"), "b")).distinct()
+    some = meets.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("a", "b").alias("h"), "a"))), 1, FEW).alias("as"))
+    return apart.union(some.select(F.explode("as.a").alias("a"), "b")).distinct()
 
 
 def _confirm(limit: int):
@@ -339,16 +339,12 @@ def _stray_links(strays: DataFrame, found: DataFrame, texts: DataFrame, limit: i
     return full.repartition("main", "block", "salt").sortWithinPartitions(*order).mapInArrow(_against(limit), "a long, b long").distinct()
 
 
-FEW_NODES = 1_000_000
-
-
 def _texts_of(met: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, text) of the nodes that share a bucket, one row each. Up to FEW_NODES of them (24 MB) are broadcast, so that only
+    """(node, text) of the nodes that share a bucket, one row each. Up to a million of them (24 MB) are broadcast, so that only
     their texts move; more are joined by shuffling."""
     nodes = settled(classes.join(met.select(F.explode(F.array("node", "pivot")).alias("node")).distinct(), "node", "left_semi").select("node", F.col("first.nd_doc").alias("doc_id"), F.col("first.nd_text").alias("nd_text")))
-    few = F.broadcast(nodes) if nodes.count() <= FEW_NODES else nodes
     own = docs.select("doc_id", F.xxhash64("text").alias("nd_text"), "text")
-    return settled(own.join(few, ["doc_id", "nd_text"]).select("node", "text").dropDuplicates(["node"]))
+    return settled(own.join(few(nodes), ["doc_id", "nd_text"]).select("node", "text").dropDuplicates(["node"]))
 
 
 def _links(classes: DataFrame, docs: DataFrame, limit: int) -> DataFrame:

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import fresh, settled
+from .shared import few, fresh, settled
 
 WS = r"\x20\x09-\x0D"
 SYMBOLS = r"[#*$%&|<>]"
@@ -154,21 +154,16 @@ def thresholds(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *cut)
 
 
-#: cutoffs that are broadcast: one row a language and source, counted first (12 MB)
-FEW_GROUPS = 100_000
-
-
 def judge(measured: DataFrame, cuts: DataFrame) -> DataFrame:
     """Adds ``q_kept``: not base_failed and within every cutoff of its (lang, source). Few groups' cutoffs go to the rows; only if
     there are more are rows shuffled to them."""
-    cuts = settled(cuts)
-    few = cuts.count() <= FEW_GROUPS
+    send = few(settled(cuts), 100_000)  # one row a language and source
     own = dict(zip(cuts.columns, fresh(measured, *cuts.columns)))
-    cuts = cuts.withColumnsRenamed(own)
+    send = send.withColumnsRenamed(own)
     cut = lambda c: F.col(own[f"cut_{c}"])
     within = F.coalesce(F.col(f"q_{LENGTH}").between(cut("low_length"), cut("high_length")), F.lit(True))
     for s in SIGNALS:
         within = within & F.coalesce(F.col(f"q_{s[0]}") <= cut(s[0]), F.lit(True))
     on = F.col("lang").eqNullSafe(F.col(own["t_lang"])) & F.col("source").eqNullSafe(F.col(own["t_source"]))
-    joined = measured.join(F.broadcast(cuts) if few else cuts, on, "left")
+    joined = measured.join(send, on, "left")
     return joined.withColumn("q_kept", ~F.col("q_base_failed") & within).drop(*own.values())

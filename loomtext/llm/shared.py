@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -41,6 +41,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FEW = 1_000_000
+
+
+def few(df: DataFrame, most: int = FEW) -> DataFrame:
+    """A settled df of a few short columns, to be broadcast if it has at most so many rows; beyond, the optimiser's own choice."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def with_columns(df: DataFrame, ddl: str, start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], instead_of: tuple[str, ...] = (), part: int = 512) -> DataFrame:
     """df with the columns of ddl, from Arrow: ``start`` is called once a task and gives the function that makes them from
     a batch of at most ``part`` rows. Columns of these names, and those that they stand in for, are left out."""

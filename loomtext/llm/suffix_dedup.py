@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .minhash import _mix, _Powers
-from .shared import settled, stored, tidy
+from .shared import few, settled, stored, tidy
 
 LENGTH, BLOCK, SHARE = 100, 20_000, 20_000
 #: names with so many rows in a partition are counted
@@ -298,15 +298,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-#: rows of (doc, fp) or names that are broadcast, counted first: 16 MB
-FEW = 1_000_000
-
-
-def _few(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if it has at most FEW rows; the optimiser's own choice beyond."""
-    return F.broadcast(df) if df.count() <= FEW else df
-
-
 def dedup(docs: DataFrame, cover: Content | Residues = CONTENT, block: int = BLOCK, share: int = SHARE, large: int = LARGE) -> DataFrame:
     """(doc_id, n_bytes, n_removed, removed: array of [start, stop), kept_sha256) for each row of docs(doc_id, text). block: rows that
     a task compares at once; share: rows of a name in one group; large: rows of a name in a partition that make it counted."""
@@ -319,8 +310,8 @@ def dedup(docs: DataFrame, cover: Content | Residues = CONTENT, block: int = BLO
     classes = settled(hashed.groupBy("md5").agg(F.min("doc").alias("doc"), F.first("fp").alias("fp"), F.max("doc").alias("other")))
     firsts = settled(classes.select("doc", "fp").distinct())
     several = settled(classes.where("doc != other").select("md5", F.col("doc").alias("keeper")))
-    copies = settled(hashed.join(_few(several), "md5").where("doc != keeper").select("doc", "fp").distinct().join(firsts, ["doc", "fp"], "left_anti"))
-    own = long_.join(_few(copies), ["doc", "fp"], "left_anti")
+    copies = settled(hashed.join(few(several), "md5").where("doc != keeper").select("doc", "fp").distinct().join(firsts, ["doc", "fp"], "left_anti"))
+    own = long_.join(few(copies), ["doc", "fp"], "left_anti")
     order = [F.col("name"), F.col("doc"), F.col("at")]
     names = own.select("doc", "text").mapInArrow(_emit(cover), "name long, doc long, at int").repartitionByRange(*order).sortWithinPartitions(*order)
     repeated = stored(names.mapInArrow(_repeated(large), "doc long, at int, name long, n long"))
@@ -330,7 +321,7 @@ def dedup(docs: DataFrame, cover: Content | Residues = CONTENT, block: int = BLO
     places = repeated.where("at IS NOT NULL").groupBy("doc").agg(F.collect_set("at").alias("places"))
     mine = firsts.join(places, "doc")
     around = own.select("doc", "fp", "text").join(mine, ["doc", "fp"]).select("doc", "fp", "text", "places").dropDuplicates(["doc", "fp"])
-    contexts = around.mapInArrow(_contexts(cover), "name long, doc long, fp long, at int, left int, around binary").join(_few(hot), "name", "left")
+    contexts = around.mapInArrow(_contexts(cover), "name long, doc long, fp long, at int, left int, around binary").join(few(hot), "name", "left")
     group = F.when(F.col("groups").isNull(), F.col("name")).otherwise(F.xxhash64("name", F.pmod(F.xxhash64("doc", "fp"), F.col("groups"))))
     contexts = contexts.select(group.alias("group"), "name", F.col("groups").isNotNull().alias("dealt"), "doc", "fp", "at", "left", "around")
     dealt = contexts.repartition("group").sortWithinPartitions("group", "doc", "fp", "at")

@@ -178,8 +178,8 @@ def _lexicon(data: list[tuple[str, int]], least: int, size: int) -> dict[str, fl
 
 
 def _phrases(data: list[tuple[str, int]], weights: dict[str, float], least: int) -> tuple[str, ...]:
-    """Two-word phrases around an entry that at least so many clean documents have, and so many fewer toxic ones that its
-    odds, two standard errors on, are still against toxicity."""
+    """Two-word phrases around an entry that at least so many clean documents have, and so few toxic ones that a phrase which is as
+    common among these would be seen as seldom in one case of twenty at most (by Poisson's law)."""
     a = Model(weights=weights, exceptions=()).automaton()
     n, seen = Counter(y for _, y in data), (Counter(), Counter())
     for t, y in data:
@@ -195,9 +195,8 @@ def _phrases(data: list[tuple[str, int]], weights: dict[str, float], least: int)
     out = []
     for phrase, k in seen[0].items():
         if k >= least:
-            bad = seen[1][phrase]
-            odds = math.log((bad + 0.5) / (n[1] + 1)) - math.log((k + 0.5) / (n[0] + 1))
-            if odds + 2 * math.sqrt(1 / (bad + 0.5) + 1 / (k + 0.5)) < 0:
+            expected, bad = k * n[1] / n[0], seen[1][phrase]
+            if expected and sum(math.exp(i * math.log(expected) - expected - math.lgamma(i + 1)) for i in range(bad + 1)) <= 0.05:
                 out.append(phrase)
     return tuple(sorted(out))
 
