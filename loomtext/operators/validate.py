@@ -14,12 +14,16 @@ from ..settle import pinned
 _OPTIONS = {"allowSingleQuotes": "false"}
 
 
+#: a member's name that no line has
+_END = "\x7fend\x7f"
+
+
 def json_object(line: Column) -> Column:
-    """The line's object as map<string, string>, or null. Spark's parser lets trailing text pass; a line must be an object
-    both as the one element of an array and as the one member of an object."""
-    only = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<map<string,string>>", _OPTIONS)
-    member = F.from_json(F.concat(F.lit('{"w":'), line, F.lit("}")), "w map<string,string>", _OPTIONS)["w"]
-    return F.when(F.coalesce(F.size(only) == 1, F.lit(False)) & member.isNotNull() & T.strip(line).startswith("{"), member)
+    """The line's object as map<string, string>, or null. Spark's parser lets trailing text pass, so the line is read as one member
+    of an object whose other member must be found behind it, with nothing between."""
+    whole = F.from_json(F.concat(F.lit('{"w":'), line, F.lit(f',"{_END}":{{}}}}')), "map<string,map<string,string>>", _OPTIONS)
+    sound = T.strip(line).startswith("{") & (F.size(whole) == 2) & F.map_contains_key(whole, F.lit(_END))
+    return F.when(F.coalesce(sound, F.lit(False)), F.try_element_at(whole, F.lit("w")))
 
 
 def field(obj: Column, key: str) -> Column:

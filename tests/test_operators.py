@@ -60,15 +60,16 @@ def test_validation(spark):
     values = ['{"instruction":"i","response":"%s"}' % long, "", "{} trailing", '{"instruction":"i"}{"response":"x"}', "{'instruction':'i'}", "[1]", "nope",
               '{"instruction":"a\\q","response":"%s"}' % long, '{"instruction":" ","response":"x"}', '{"instruction":"i","response":null}', '{"instruction":"i","response":"%s"}' % w(19),
               '{"instruction":"Q: what","response":"%s"}' % long, '{"instruction":"i","response":"Assistant : %s"}' % long, '{"instruction":"A study in scarlet","response":"%s"}' % long,
-              '{"instruction":"%s","response":"%s"}' % (long.upper(), long), '{"instruction":"x","instruction":"y","response":"%s","more":1}' % long]
+              '{"instruction":"%s","response":"%s"}' % (long.upper(), long), '{"instruction":"x","instruction":"y","response":"%s","more":1}' % long,
+              '{"instruction":"i"}}x{', '{"instruction":"i"},"response":{"a":1}', '{"instruction":"i"}] x [', '{"instruction":"i"},{"response":"r"}', '{"instruction":{"a":{"b":[1,2]}},"response":"r"}']
     lines = spark.createDataFrame(list(enumerate(values)), "line_no long, value string")
     rows = {r.line_no: r for r in V.checked(lines).collect()}
     assert {k: r.reason for k, r in rows.items()} == {
         0: None, 7: None, 8: "empty instruction", 9: "empty response", 10: "response too short (19 words)", 11: "instruction has conversation prefix",
-        12: "response has conversation prefix", 13: None, 14: "instruction equals response", 15: None,
+        12: "response has conversation prefix", 13: None, 14: "instruction equals response", 15: None, 20: "response too short (1 words)",
     }
     assert rows[15].instruction == "y"
-    assert tuple(V.counts(lines).first()) == (16, 4)
+    assert tuple(V.counts(lines).first()) == (21, 4)
 
 
 def pairs(spark, *rows):
