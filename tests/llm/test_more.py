@@ -42,6 +42,29 @@ def test_pieces_round_trip_and_best_score():
         assert sum(table[pieces.load()[i][0]][0] for i in codec.encode(word)) == best[-1][0]
 
 
+def test_pieces_best_score_of_whole_texts():
+    """The segmentation's score is the best of all by a plain walk over every prefix; of pieces that tie the longest ends it."""
+    model = pieces.load()
+    codec = pieces.Codec(model)
+    table = {p: (s, i) for i, (p, s, kind) in enumerate(model) if kind == "normal"}
+    longest = max(map(len, table))
+    rng = random.Random(12)
+    words = ["reading", "a", "Über", "naïve", "x1,y2", "don't", "...", "http://a.b/c?d=e", "ﬁ", "12345", "the", "quick-brown", "(see)", "\u00a0"]
+    for _ in range(60):
+        t = "".join(rng.choice(words) + rng.choice([" ", " ", "", "  "]) for _ in range(rng.randrange(1, 12)))
+        s = pieces.MARK + t.replace(" ", pieces.MARK)
+        best = [(0.0, ())] + [None] * len(s)
+        for e in range(1, len(s) + 1):
+            for b in range(max(0, e - longest), e):  # from the longest piece on
+                if best[b] and s[b:e] in table and (best[e] is None or best[b][0] + table[s[b:e]][0] > best[e][0]):
+                    best[e] = best[b][0] + table[s[b:e]][0], (*best[b][1], table[s[b:e]][1])
+            if best[e] is None or best[e][0] < pieces.BYTE_COST / 2:
+                value = best[e - 1][0] + pieces.BYTE_COST * len(s[e - 1].encode())
+                if best[e] is None or value > best[e][0]:
+                    best[e] = value, (*best[e - 1][1], *(codec.byte[x] for x in s[e - 1].encode()))
+        assert codec.encode(t) == list(best[-1][1]), t
+
+
 def test_encode_then_decode(spark):
     docs = spark.createDataFrame([(1, "a b  c"), (2, None), (3, ""), (4, "▁ x")], "doc_id long, text string")
     model = pieces.load()
