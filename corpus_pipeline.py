@@ -5,8 +5,14 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 1. quality rules: documents that fail the base rules or a cutoff learned from the stage's input go.
 2. line dedup: lines found in three documents or more stay only in the largest doc_id; n_chars follows the text.
 3. MinHash near-dedup: the smallest doc_id of each component of links at similarity 0.8 or more stays.
-4. benchmark decontamination: the hit words' documents with two or more items go.
+4. benchmark decontamination: documents that hold eight consecutive words of a benchmark item go.
 5. SentencePiece: ids of each text, and whether they decode to it.
+
+Each stage judges rows, not ids, so rows that repeat a doc_id are told apart by their texts. Null or empty texts fail the base
+rules of stage 1; given to a later stage by itself they pass it: they have one empty line, no shingles and no hits, and
+encode as null or no ids. A null doc_id stays where its text does. Rows alike in doc_id and text pass stages 1 and 2 and are one
+document from stage 3 on. Very long texts go through whole. Columns besides those of documents are left out, whatever their
+names. Of near copies with the same smallest doc_id the one whose text's hash is smallest stays. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -14,19 +20,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomtext.llm import decontaminate, line_dedup, minhash, pieces, quality_rules
-from loomtext.llm.shared import settled
+from loomtext.llm.shared import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows are told apart by doc_id and text, so that a repeated doc_id keeps its own verdicts."""
-    own = docs.select("doc_id", "lang", "source", "text")
-    measured = settled(quality_rules.measure(own).withColumn("q_text", F.xxhash64("text")).drop("text"))
-    judged = quality_rules.judge(measured, quality_rules.thresholds(measured))
-    good = judged.where("q_kept").select(*[F.col(c).alias(f"q_{c}_") for c in ("doc_id", "lang", "source")], "q_text").distinct()
-    on = (F.xxhash64("text") == F.col("q_text")) & F.col("doc_id").eqNullSafe(F.col("q_doc_id_")) & F.col("lang").eqNullSafe(F.col("q_lang_")) & F.col("source").eqNullSafe(F.col("q_source_"))
-    return docs.join(good, on, "left_semi").select(*COLUMNS)
+    measured = stored(quality_rules.measure(docs.select(*COLUMNS)))  # the cutoffs read only the measurements, the verdicts all
+    return quality_rules.judge(measured, quality_rules.thresholds(measured)).where("q_kept").select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +40,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.search(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(F.size("bench_items") < 2).select(*COLUMNS)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = settled(docs)  # the next stage reads its input more than once
+            docs = stored(docs)  # the next stage reads its input more than once
     return docs
