@@ -215,7 +215,7 @@ def _first_pairs(met: DataFrame) -> DataFrame:
 def _several(rows: DataFrame, found: DataFrame) -> DataFrame:
     """(key, node, c: its component, main, pick) over rows (key, node): those that are in a bucket with several components, but not
     in the one with most nodes there, which is main; pick is some node of that."""
-    known = rows.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    known = settled(rows.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
     share = known.groupBy("key", "c").agg(F.count("*").alias("m"), F.min_by("node", F.xxhash64("node", "key")).alias("pick"))
     spans = share.groupBy("key").agg(F.count("*").alias("cs"), F.max(F.struct("m", "c", "pick")).alias("top")).where("cs > 1")
     spans = spans.select(F.col("key").alias("k"), F.col("top.c").alias("main"), F.col("top.pick").alias("pick"))
@@ -362,8 +362,11 @@ def _links(classes: DataFrame, docs: DataFrame, limit: int) -> DataFrame:
         return found
     as_links = lambda d: d.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(as_links(found).union(confirm(more, texts, limit)))
-    open_ = members.join(strays.select("key").distinct(), "key", "left_semi")
-    strays = settled(_several(open_, found).select("main", "node", "c").distinct())
+    # what a stray's component and its main one have become; members of the main one are in that still
+    now = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"{x}_now"))
+    apart = strays.select("main", "node", "c").distinct().join(now("c"), "c", "left").join(now("main"), "main", "left")
+    apart = apart.select(F.coalesce("main_now", "main").alias("main"), "node", F.coalesce("c_now", "c").alias("c"))
+    strays = settled(apart.where("c != main").distinct())
     if strays.isEmpty():
         return found
     return components(as_links(found).union(_stray_links(strays, found, texts, limit)))
