@@ -159,7 +159,7 @@ def test_cli(spark, tmp_path, capsys, monkeypatch):
     assert cli.main(["run", at("pages"), at("one"), "--prompt", "p.txt", "--probe"]) == 0
     said = capsys.readouterr().out.strip().splitlines()
     assert "left out: tiny has 0 words" in said and json.loads(said[-1])["generated"] == 6 and json.loads(said[-1])["seconds"] > 0
-    assert cli.main(["more", at("pages"), at("one/final"), at("two")]) == 1  # the stub has nothing new to say
+    assert cli.main(["more", at("pages"), at("one/working"), at("two")]) == 1  # the stub has nothing new to say
     assert cli.main(["curate", at("one/final"), at("three")]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"final": 1}
     with pytest.raises(FileNotFoundError):
