@@ -27,4 +27,4 @@ def against_sql(spark, tmp_path, rows, *names):
 def test_words_of_a_short_last_chunk_are_one_blank_apart(spark, tmp_path):
     """A section of 1050, 900, 20 and 30 words: its last chunk has just the 50 words that the next section begins with."""
     rows = [(1, "b", w(1050, "long")), (2, "b", w(900, "more")), (3, "b", w(20, "few") + "\n\n" + w(15, "and") + "\n" + w(15, "last")), (4, "b", w(300, "next"))]
-    against_sql(spark, tmp_path, rows, "chunks")
+    against_sql(spark, tmp_path, rows, "chunks", "prompts")
