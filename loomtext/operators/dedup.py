@@ -2,8 +2,11 @@
 
 The near pass is exact. Weights are all positive, so only pairs that share a term can be similar. Each normalised vector's
 terms are put in order of rising document frequency, and only the shortest prefix is indexed whose remaining norm is below
-the threshold: two vectors without a common prefix term cannot reach it. Candidates are verified on whole vectors. Terms
-that many instructions share come last in that order, so the index's lists stay short.
+the threshold: two vectors without a common prefix term cannot reach it. Terms that many instructions share come last in that
+order, so the index's lists stay short. What the prefixes' common terms give, and what the rests' norms could add, leaves few
+candidates; these are verified on whole vectors, an array each.
+
+The passes before it go by fingerprints: texts are read once, and only ids, fingerprints and instructions go on.
 
 A row is dropped if a row before it that is itself kept is similar: rounds decide all rows whose earlier neighbours are
 decided.
@@ -11,11 +14,15 @@ decided.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import EngineConfig
 from ..functions import text as T
-from ..settle import settle
+from ..settle import settle, stored, tidy
 
 
 def _first_by(pairs: DataFrame, column: str) -> DataFrame:
@@ -69,21 +76,61 @@ def norms(pairs: DataFrame) -> DataFrame:
 
 
 def unit_vectors(pairs: DataFrame) -> DataFrame:
-    """(pair_id, term, df, w), w of the normalised vector."""
-    raw = settle(tfidf(pairs))
-    return settle(raw.join(_norms(raw), "pair_id").where("norm > 0").select("pair_id", "term", "df", (F.col("w") / F.col("norm")).alias("w")))
+    """(pair_id, id, w, rest, end): the normalised vectors; ids of terms stand for them. In order of rising document frequency,
+    rest is the norm from a term on, itself included."""
+    counts = stored(term_counts(pairs))
+    terms = stored(_idf(counts, pairs).withColumn("id", F.monotonically_increasing_id()))  # stored, so that ids stay as they are
+    raw = counts.join(terms, "term").select("pair_id", "id", "df", (F.col("n") * F.col("idf")).alias("w"))
+    every = Window.partitionBy("pair_id")
+    square = F.col("w") * F.col("w")
+    d = raw.select("pair_id", "id", "w", F.sum(square).over(every.orderBy(F.col("df").desc(), F.col("id").desc())).alias("rest"), F.sum(square).over(every).alias("all"))
+    unit = stored(d.where("all > 0").select("pair_id", "id", (F.col("w") / F.sqrt("all")).alias("w"), F.sqrt(F.col("rest") / F.col("all")).alias("rest")))
+    tidy(unit)
+    return unit
+
+
+#: what sums of rounded weights may lack
+EPS = 1e-9
+
+
+def _candidates(unit: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a < b: all pairs that can reach the threshold, and some that don't."""
+    after = F.sqrt(F.greatest(F.col("rest") * F.col("rest") - F.col("w") * F.col("w"), F.lit(0.0)))
+    # what is left from this term on, itself included, could still reach the threshold
+    prefix = unit.where(F.col("rest") >= threshold - EPS).select("pair_id", "id", "w", after.alias("after"))
+    prefix = prefix.withColumn("end", F.min("after").over(Window.partitionBy("pair_id")))
+    a, b = (prefix.select(F.col("pair_id").alias(x), "id", *(F.col(c).alias(f"{c}_{x}") for c in ("w", "after", "end"))) for x in "ab")
+    # the prefix that ends first leaves its end, the other at most what comes after the last common term
+    rows = a.join(b, "id").where("a < b").select("a", "b", F.expr("w_a * w_b").alias("s"), F.expr("greatest(end_a * after_b, end_b * after_a)").alias("more"))
+    return rows.groupBy("a", "b").agg(F.sum("s").alias("s"), F.min("more").alias("more")).where(F.col("s") + F.col("more") >= threshold - EPS).select("a", "b")
+
+
+def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, similarity) of rows(a, b, va, vb)."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1024):
+            batch = whole.slice(at, 1024)
+            rows, ids, ws = [], [], []
+            for c in ("va", "vb"):
+                v = batch.column(c)
+                rows.append(np.repeat(np.arange(len(v)), v.value_lengths().to_numpy(zero_copy_only=False)))
+                ids.append(v.flatten().field("id").to_numpy(zero_copy_only=False))
+                ws.append(v.flatten().field("w").to_numpy(zero_copy_only=False))
+            found, number = np.unique(np.concatenate(ids), return_inverse=True)
+            key = [r * len(found) + n for r, n in zip(rows, np.split(number.ravel(), [len(ids[0])]))]
+            _, i, j = np.intersect1d(*key, assume_unique=True, return_indices=True)
+            dots = np.bincount(rows[0][i], ws[0][i] * ws[1][j], batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(dots)], ["a", "b", "similarity"])
 
 
 def _similar(unit: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity), a < b, of vectors(pair_id, term, df, w)."""
-    rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("pair_id").orderBy(F.col("df").desc(), F.col("term").desc()))
-    # what is left from this term on, itself included, could still reach the threshold
-    prefix = unit.withColumn("rest", F.sqrt(rest)).where(F.col("rest") >= threshold - 1e-9).select("pair_id", "term")
-    a, b = (prefix.select(F.col("pair_id").alias(x), "term") for x in "ab")
-    candidates = a.join(b, "term").where("a < b").select("a", "b").distinct()
-    wa = unit.select(F.col("pair_id").alias("a"), "term", F.col("w").alias("wa"))
-    wb = unit.select(F.col("pair_id").alias("b"), "term", F.col("w").alias("wb"))
-    dots = candidates.join(wa, "a").join(wb, ["b", "term"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity"))
+    """(a, b, similarity), a < b, of unit_vectors."""
+    candidates = stored(_candidates(unit, threshold))
+    tidy(unit)
+    vectors = unit.groupBy("pair_id").agg(F.collect_list(F.struct("id", "w")).alias("v"))
+    va, vb = (vectors.select(F.col("pair_id").alias(x), F.col("v").alias(f"v{x}")) for x in "ab")
+    kind = dict(unit.dtypes)["pair_id"]
+    dots = candidates.join(va, "a").join(vb, "b").select("a", "b", "va", "vb").mapInArrow(_dots, f"a {kind}, b {kind}, similarity double")
     return dots.where(F.col("similarity") >= threshold)
 
 
@@ -141,25 +188,45 @@ def _joined(parts: list[DataFrame]) -> list[DataFrame]:
 def near_dedup(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Of equal vectors only the first can stay, and what is similar to one is to all, so only these firsts are compared."""
     unit = unit_vectors(pairs)
-    form = F.array_sort(F.collect_list(F.struct("term", "w")))
-    same = unit.groupBy("pair_id").agg(F.md5(F.to_json(form)).alias("form"))
+    form = F.array_sort(F.collect_list(F.struct("id", "w")))
+    same = settle(unit.groupBy("pair_id").agg(F.md5(F.to_json(form)).alias("form")))
     first = settle(same.groupBy("form").agg(F.min("pair_id").alias("first")))
     copies = same.join(first, "form").where("pair_id != first").select(F.col("pair_id").alias("id"))
-    firsts = settle(unit.join(first.select(F.col("first").alias("pair_id")), "pair_id", "left_semi"))
-    gone = copies.union(dropped_by(_similar(firsts, threshold)))
+    firsts = unit.join(settle(copies).withColumnRenamed("id", "pair_id"), "pair_id", "left_anti")
+    gone = copies.union(dropped_by(_similar(stored(firsts), threshold)))
     return pairs.join(gone.withColumnRenamed("id", "pair_id"), "pair_id", "left_anti")
 
 
+def _marked(pairs: DataFrame, min_words: int) -> DataFrame:
+    """(pair_id, instruction, i, r, low): all that the passes look at, fingerprints for texts."""
+    i, r = (T.fingerprint(F.coalesce(F.col(c), F.lit(""))) for c in ("instruction", "response"))
+    low = T.low_quality(F.col("instruction"), F.col("response"), min_words)
+    return stored(pairs.select("pair_id", "instruction", i.alias("i"), r.alias("r"), low.alias("low")))
+
+
+def _passes(pairs: DataFrame, min_words: int) -> dict[str, DataFrame]:
+    d = _marked(pairs, min_words)
+    out = {"input": d}
+    for name, key in (("by_instruction", "i"), ("by_response", "r")):
+        d = d.join(d.groupBy(key).agg(F.min("pair_id").alias("pair_id")).select("pair_id"), "pair_id", "left_semi")
+        out[name] = d = stored(d)
+    return out | {"quality": d.where(~F.col("low"))}
+
+
+def survivors(pairs: DataFrame, min_words: int = 20) -> DataFrame:
+    """(pair_id, instruction) of what by_instruction, by_response and good_pairs, one after another, leave."""
+    return _passes(pairs, min_words)["quality"].select("pair_id", "instruction")
+
+
 def stages(pairs: DataFrame, cfg: EngineConfig = EngineConfig()) -> dict[str, DataFrame]:
-    """The pairs after each pass; the order of the passes matters."""
-    one = by_instruction(pairs)
-    two = by_response(one)
-    three = settle(good_pairs(two, cfg.min_response_words))
-    return {"input": pairs, "by_instruction": one, "by_response": two, "quality": three, "near": near_dedup(three, cfg.similarity_threshold)}
+    """The pairs' ids and instructions after each pass; the order of the passes matters."""
+    out = {name: d.select("pair_id", "instruction") for name, d in _passes(pairs, cfg.min_response_words).items()}
+    return out | {"near": near_dedup(out["quality"], cfg.similarity_threshold)}
 
 
 def deduplicate(pairs: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
-    return stages(pairs, cfg)["near"]
+    """What all passes leave; rows that share an id are judged one by one for their quality."""
+    return good_pairs(pairs.join(stages(pairs, cfg)["near"].select("pair_id"), "pair_id", "left_semi"), cfg.min_response_words)
 
 
 def summary(pairs: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:

@@ -3,6 +3,7 @@ import json
 from loomtext.config import EngineConfig
 from loomtext.operators import chunks as C, dedup as D, generate as G, pages as P, sections as S, validate as V
 from loomtext.plans import pipeline
+from loomtext.settle import settle
 from loomtext.sources import jsonl
 
 
@@ -161,3 +162,39 @@ def test_streaming_append(spark, tmp_path):
     (src / "c.jsonl").write_text(json.dumps({"instruction": "i3", "response": w(20, "c")}) + "\n")
     append_pairs(spark, str(src), str(tmp_path / "out"), str(tmp_path / "other"), once=True).awaitTermination()
     assert sorted(r.instruction for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["i1", "i2", "i3"]
+
+
+def test_candidates_of_the_near_pass(spark):
+    """Rows that share a rare term or two are no candidates; all similar pairs are, and their similarity is that of whole vectors."""
+    import random
+    from collections import Counter
+    from math import log
+
+    rng = random.Random(5)
+    letters = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    texts = [" ".join(["rare", *(letters() for _ in range(rng.choice([12, 30])))]) for _ in range(60)]
+    for t in texts[:15]:
+        ts = t.split()
+        texts += [" ".join(x if rng.random() < 0.9 else letters() for x in ts), f"{t} {ts[1]} {ts[2]}", " ".join(ts[: len(ts) * 5 // 6])]
+    texts += ["solo", "solo solo pair", "1 2 3"]
+    d = settle(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "pair_id long, instruction string"))
+    counts = [Counter(x for x in t.split() if x.isalpha()) for t in texts]
+    df = Counter(x for c in counts for x in c)
+    vectors = [{x: n * (log(len(texts) / (df[x] + 1)) + 1) for x, n in c.items()} for c in counts]
+    norms = [sum(x * x for x in v.values()) ** 0.5 for v in vectors]
+    every = {(a, b): sum(x * vectors[b].get(k, 0) for k, x in vectors[a].items()) / (norms[a] * norms[b]) for b in range(len(texts)) for a in range(b) if norms[a] and norms[b]}
+    unit = D.unit_vectors(d)
+    for threshold in (0.85, 0.5):
+        want = {p: s for p, s in every.items() if s >= threshold}
+        got = {(r.a, r.b): r.similarity for r in D.similar_pairs(d, threshold).collect()}
+        assert got.keys() == want.keys() and want and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    found = {(r.a, r.b) for r in D._candidates(unit, 0.85).collect()}
+    assert {p for p, s in every.items() if s >= 0.85} <= found and not any(every[p] < 0.5 for p in found)
+
+
+def test_passes_go_by_rows(spark):
+    """Of rows that share an id each is judged by itself, and only ids and instructions go on to the near pass."""
+    d = spark.createDataFrame([(0, A, w(20, "x")), (1, "another", w(20, "y")), (1, "more", "short"), (2, A + " x", w(20, "z")), (3, None, w(20)), (4, "q", None)], "pair_id long, instruction string, response string")
+    assert sorted((r.pair_id, r.instruction) for r in D.deduplicate(d).collect() if r.pair_id < 3) == [(0, A), (1, "another")]
+    assert all(x.columns == ["pair_id", "instruction"] for x in D.stages(d).values())
+    assert {r.stage: r.n for r in D.summary(d).collect()}["input"] == 6
