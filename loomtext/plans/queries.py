@@ -246,7 +246,7 @@ def similar_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return D.near_dedup(settle(_good(spark, sf))).select("pair_id")
+    return D.near_dedup(D.survivors(I.pairs(spark, sf))).select("pair_id")
 
 
 def dedup_summary(spark: SparkSession, sf: str) -> DataFrame:
