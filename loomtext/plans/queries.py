@@ -242,7 +242,7 @@ def tfidf_norms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def similar_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return D.similar_pairs(settle(_good(spark, sf))).select("a", "b", F.round("similarity", ROUND).alias("similarity"))
+    return D.similar_pairs(D.survivors(I.pairs(spark, sf))).select("a", "b", F.round("similarity", ROUND).alias("similarity"))
 
 
 def near_dedup(spark: SparkSession, sf: str) -> DataFrame:
