@@ -117,7 +117,9 @@ def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, sf: str, cfg: EngineConfig = SMALL) -> DataFrame:
-    return C.chunks(S.by_paragraphs(_plain_books(spark, sf), cfg), cfg)
+    d = I.table(spark, sf, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("page_no"), "text")
+    unclear = d.groupBy("book_id", "page_no").agg(F.count("*").alias("n")).where("n > 1 OR page_no IS NULL")
+    return C.of_pages(d, cfg) if unclear.isEmpty() else C.chunks(S.by_paragraphs(_plain_books(spark, sf), cfg), cfg)
 
 
 def chunks(spark: SparkSession, sf: str) -> DataFrame:
