@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import EngineConfig
 from ..functions import text as T
 from ..operators import chunks as C, dedup as D, generate as G, pages as P, sections as S, validate as V
-from ..settle import settle
+from ..settle import settle, stored, tidy
 from ..sources import jsonl
 from . import inputs as I
 
@@ -145,7 +145,8 @@ def run_estimate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _made(spark: SparkSession, sf: str, cfg: EngineConfig) -> tuple[DataFrame, DataFrame]:
-    c = settle(_chunks(spark, sf))
+    c = stored(_chunks(spark, sf))
+    tidy(c)
     return c, G.produce(c, cfg, G.StubGenerator(per_batch=cfg.pairs_per_batch)).pairs
 
 
