@@ -153,8 +153,7 @@ def _made(spark: SparkSession, sf: str, cfg: EngineConfig) -> tuple[DataFrame, D
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
     """The prompts of a second call: what is left to make, and what the first has made to avoid."""
     c, made = _made(spark, sf, EngineConfig(pairs_per_chunk=20, pairs_per_batch=20))
-    have = made.groupBy("book_id", "chunk_index").agg(F.count("*").alias("n"), G.avoid_list(F.collect_list(T.match_key(F.col("instruction")))).alias("listed"))
-    d = c.join(have, ["book_id", "chunk_index"], "left").withColumns({"n": F.coalesce("n", F.lit(0)), "listed": F.coalesce("listed", F.array().cast("array<string>"))})
+    d = G.with_made(c, made)
     return d.select("book_id", long("chunk_index").alias("chunk_index"), F.md5(G.render_prompt(40 - F.col("n"), F.col("listed"))).alias("prompt_md5"))
 
 

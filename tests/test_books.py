@@ -42,6 +42,14 @@ def test_brackets_and_fences_in_a_chunk_lose_no_pairs(spark, tmp_path):
     against_sql(spark, tmp_path, [(k, f"b{k}", text) for k, text in enumerate(odd)], "chunks", "prompts", "stub_pairs")
 
 
+def test_prompts_of_a_book_without_a_name(spark, tmp_path):
+    """The second prompt counts and lists the first call's pairs there too; prompts don't hold the book's name."""
+    docs = [(k, w(500), "en", source, 0) for k, source in enumerate([None, "b"])]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = Q.prompts(spark, str(tmp_path)).collect()
+    assert {r.book_id for r in got} == {None, "b"} and len(got) == 2 and len({r.prompt_md5 for r in got}) == 1
+
+
 def test_pages_are_cut_as_books_are(spark, tmp_path):
     """Chunks of pages against those of whole books: sections and chunks over pages, tails of tails, dropped leftovers, long
     paragraphs of sentences, pages without text, several books."""
